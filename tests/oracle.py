@@ -1,0 +1,39 @@
+"""Compare a query with its oracle text on one directory of tables."""
+
+import glob
+import math
+import os
+from collections import Counter
+
+import duckdb
+
+
+def _cell(v):
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else f"{v:.9g}"
+    return repr(v)
+
+
+def oracle(sf_dir):
+    con = duckdb.connect()
+    con.sql("set timezone='UTC'")
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        src = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.sql(f"create view {os.path.basename(path)[:-8]} as select * from read_parquet('{src}')")
+    return con
+
+
+def difference(spark, query, sql, sf_dir):
+    """None, or what differs."""
+    df = query(spark, sf_dir)
+    rel = oracle(sf_dir).execute(sql)
+    names = [d[0] for d in rel.description]
+    if sorted(df.columns) != sorted(names):
+        return f"columns {df.columns} and {names}"
+    order = sorted(df.columns)
+    ours = Counter(tuple(_cell(r[c]) for c in order) for r in df.collect())
+    at = [names.index(c) for c in order]
+    theirs = Counter(tuple(_cell(r[i]) for i in at) for r in rel.fetchall())
+    if ours != theirs:
+        return f"{sum(ours.values())} and {sum(theirs.values())} rows; only ours {list((ours - theirs).items())[:3]}; only the oracle's {list((theirs - ours).items())[:3]}"
+    return None
