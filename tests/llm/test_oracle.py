@@ -1,0 +1,10 @@
+import pytest
+from oracle import difference
+from outpost.llm import registry
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_oracle(spark, name):
+    assert difference(spark, registry.queries()[name], registry.oracle_sql()[name], SF) is None
