@@ -30,7 +30,7 @@ MOST_REPEATED_PERCENT = 20
 #: Pseudo-count of each bucket.
 SMOOTHING = 1.0
 #: Least mean log ratio, in millionths.
-THRESHOLD = -500_000
+THRESHOLD = -100_000
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -77,18 +77,23 @@ def ngram_buckets(ws: Column, buckets: int = BUCKETS) -> Column:
 def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id`` with the text statistics and ``grams`` of every row of ``docs(doc_id, text)``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", text.alias("text")).withColumn("ws", word_array(F.col("text")))
-    ws = F.col("ws")
+    d = docs.select("doc_id", text.alias("text"))
+
+    def of_words(ws: Column) -> Column:
+        return F.struct(
+            F.size(ws).cast("long").alias("n_words"),
+            F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
+            repeated_words(ws).alias("n_repeat_words"),
+            ngram_buckets(ws, buckets).alias("grams"),
+        )
+
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
     return d.select(
         "doc_id",
-        F.size(ws).cast("long").alias("n_words"),
-        F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
+        bound(word_array(F.col("text")), of_words).alias("of_words"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        repeated_words(ws).alias("n_repeat_words"),
-        ngram_buckets(ws, buckets).alias("grams"),
-    )
+    ).select("doc_id", "of_words.n_words", "of_words.word_chars", "n_symbols", "n_dup_lines", "of_words.n_repeat_words", "of_words.grams")
 
 
 def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:

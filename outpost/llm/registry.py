@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from outpost.llm import mixing, quality, warc, words
+from outpost.llm import mixing, pii, quality, warc, words
 from outpost.sources import read_table
 
 
@@ -24,8 +24,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op9_quality_rules)}
+    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op9_quality_rules, op10_personal_data)}
     return found
 
 
