@@ -50,7 +50,8 @@ _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}")
 _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,33}(?![0-9])")
 _ACCOUNT_GAP = re.compile(r"(?:\s|number|no\.?|nr\.?|#|:|=|-){0,8}")
 _SECRET_GAP = re.compile(r"\s{0,4}[:=]\s{0,4}[\"']?")
-_SECRET = re.compile(r"[A-Za-z0-9+/_=.-]{12,}+")
+#: A value of over 512 characters is taken for data, of which the first 512 are a span.
+_SECRET = re.compile(r"[A-Za-z0-9+/_=.-]{12,512}+")
 
 
 @lru_cache(maxsize=1)
@@ -125,10 +126,12 @@ def _cards(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _urls(text: str, at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    free = 0
     for p, after in at:
-        scheme = _SCHEME_START.search(text, max(0, p - 32), p)
+        scheme = _SCHEME_START.search(text, max(free, p - 32), p) if p >= free else None
         if scheme and (m := _USER_URL.match(text, after)):
-            yield scheme.start(), m.end()
+            free = m.end()
+            yield scheme.start(), free
 
 
 def _word_before(text: str, p: int) -> bool:
