@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from outpost.llm import mixing, pii, quality, warc, words
+from outpost.llm import bpe, mixing, pii, quality, tokens, warc, words
 from outpost.sources import read_table
 
 
@@ -20,6 +21,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokens.files(spark)
+    tokens.write(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.checksums(tokens.read(spark, path))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -29,7 +40,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op9_quality_rules, op10_personal_data)}
+    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op6_bpe, op7_token_files, op9_quality_rules, op10_personal_data)}
     return found
 
 
