@@ -29,6 +29,9 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 #: Pseudo-count of each bucket.
 SMOOTHING = 1.0
+#: Labelled documents that the target's model is fitted on, at most.
+TARGET_ROWS = 20_000
+SEED = 20240509
 #: Least mean log ratio, in millionths.
 THRESHOLD = -100_000
 SYMBOLS = "[#*$%&|<>]"
@@ -96,10 +99,13 @@ def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     ).select("doc_id", "of_words.n_words", "of_words.word_chars", "n_symbols", "n_dup_lines", "of_words.n_repeat_words", "of_words.grams")
 
 
-def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
-    """``bucket, ratio``: log of the target's over the corpus's smoothed share, in millionths."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("good", F.lit(1))
-    d = stats.select("doc_id", "grams").join(good, "doc_id", "left")
+def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """``bucket, ratio``: log of the target's over the corpus's smoothed share, in millionths. The target's
+    counts come from at most ``target_rows`` labelled documents, those first by a seeded hash; the corpus's
+    from all documents."""
+    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    good = good.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(target_rows).withColumn("good", F.lit(1))
+    d = stats.select("doc_id", "grams").join(F.broadcast(good), "doc_id", "left")
     g = d.select(F.explode("grams").alias("bucket"), F.coalesce("good", F.lit(0)).cast("long").alias("good"))
     counts = g.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("n_good"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_good"), F.lit(0)).alias("good")).first()
