@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from outpost.llm import bpe, gif, mixing, pii, quality, tokens, warc, words
+from outpost.llm import bpe, gif, mixing, pii, quality, tokens, urlgraph, warc, words
 from outpost.sources import read_table
 
 
@@ -21,6 +21,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op3_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlgraph.judge(read_table(spark, sf_dir, "pages"))
+
+
 def op5_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.features(gif.store_texts(read_table(spark, sf_dir, "documents")))
 
@@ -44,7 +48,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op5_gif_media, op6_bpe, op7_token_files, op9_quality_rules, op10_personal_data)}
+    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op3_link_graph_urls, op5_gif_media, op6_bpe, op7_token_files, op9_quality_rules, op10_personal_data)}
     return found
 
 
