@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from outpost.llm import bpe, gif, mixing, pii, quality, tokens, urlgraph, warc, words
+from outpost.llm import bpe, gif, jaccard, mixing, pii, quality, tokens, urlgraph, warc, words
 from outpost.sources import read_table
 
 
@@ -39,6 +39,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.checksums(tokens.read(spark, path))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -48,7 +52,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op3_link_graph_urls, op5_gif_media, op6_bpe, op7_token_files, op9_quality_rules, op10_personal_data)}
+    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op3_link_graph_urls, op5_gif_media, op6_bpe, op7_token_files, op8_ngram_jaccard_join, op9_quality_rules, op10_personal_data)}
     return found
 
 
