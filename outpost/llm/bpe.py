@@ -18,6 +18,7 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from outpost.llm.pretokens import Encoder
+from outpost.llm.pretokens import Encoder, chunks
 
 #: How the tokenizer's file cuts words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -60,7 +61,7 @@ class WordBpe:
         own = Tokenizer.from_str(definition)
         self.normalizer, self.splitter = own.normalizer, own.pre_tokenizer
         self.known: set[str] = set()
-        self.encoder = Encoder(lambda ws: [self.word(w) for w in ws], self.odd_text, False, tuple(s.encode() for s in self.added))
+        self.encoder = Encoder(lambda ws: [array('I', self.word(w)).tobytes() for w in ws], self.odd_text, False, tuple(s.encode() for s in self.added))
 
     def word(self, word: bytes) -> list[int]:
         """Ids of one word."""
@@ -142,7 +143,7 @@ def encode(docs: DataFrame, tokenizer: str, column: str = "ids") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(shared.value)
-        for b in batches:
+        for b in (b.slice(s, e - s) for b in batches for s, e in chunks(b.column("text"))):
             flat, counts = bpe.encoder.batch(b.column("text"))
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))], names=[*b.schema.names, column])
@@ -159,7 +160,7 @@ def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(shared.value)
-        for b in batches:
+        for b in (b.slice(s, e - s) for b in batches for s, e in chunks(b.column("text"))):
             flat, counts = bpe.encoder.batch(b.column("text"))
             ends = np.cumsum(counts)
             of_ids, of_text = [], []

@@ -66,16 +66,17 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Texts to token ids. ``new_words`` gives the id lists of words (UTF-8); ``odd_text`` gives the ids of a
+    """Texts to token ids. ``new_words`` gives the ids of words (UTF-8) as 32-bit
+    integers in bytes; ``odd_text`` gives the ids of a
     text that is not plain; ``tiled`` cuts as byte-level tokenizers do (a word keeps one space before it and
     white space counts), else white space is dropped, digits stand alone and letters are lowered."""
 
-    def __init__(self, new_words: Callable[[list[bytes]], list[list[int]]], odd_text: Callable[[str], list[int]], tiled: bool, special: tuple[bytes, ...]):
+    def __init__(self, new_words: Callable[[list[bytes]], list[bytes]], odd_text: Callable[[str], list[int]], tiled: bool, special: tuple[bytes, ...]):
         self.new_words, self.odd_text, self.tiled, self.special = new_words, odd_text, tiled, special
-        self.young: dict[bytes, np.ndarray] = {}
-        self.old: dict[bytes, np.ndarray] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def ids(self, words: list[bytes]) -> list[np.ndarray]:
+    def ids(self, words: list[bytes]) -> list[bytes]:
         young, old = self.young, self.old
         out = [young.get(w) for w in words]
         missing = []
@@ -86,7 +87,7 @@ class Encoder:
                 else:
                     missing.append(i)
         for i, ids in zip(missing, self.new_words([words[i] for i in missing]) if missing else [], strict=True):
-            young[words[i]] = out[i] = np.asarray(ids, np.uint32)
+            young[words[i]] = out[i] = ids
         if len(young) > KEEP_WORDS:
             self.old, self.young = young, {}
         return out
@@ -163,10 +164,9 @@ class Encoder:
         else:
             drop = [CLASSES[w[0]] == SPACE for w in different]
             found = iter(self.ids([w for w, d in zip(different, drop, strict=True) if not d]))
-            none = np.zeros(0, np.uint32)
-            ids = [none if d else next(found) for d in drop]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        pool = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            ids = [b"" if d else next(found) for d in drop]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), np.uint32)
         starts = np.cumsum(sizes) - sizes
         at = coded.indices.to_numpy()
         n = sizes[at]

@@ -22,35 +22,53 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from outpost.llm.bpe import load
-from outpost.llm.pretokens import Encoder
+from outpost.llm.pretokens import Encoder, chunks
 from outpost.llm.store import shared_dir
 from outpost.operators.joins import lookup_join
 
 END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
-#: How byte-level tokenizers cut words.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+#: Words encoded in one call.
+LINES = 2000
 
 _SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 
 
 @lru_cache(maxsize=2)
 def _encoder(definition: str) -> Encoder:
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     t = Tokenizer.from_str(definition)
     t.no_truncation()
     t.no_padding()
 
-    def new_words(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in t.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    # the file's own vocabulary and merges behind a split at line ends: words come already cut, one a line
+    lines_only = Tokenizer(t.model)
+    lines_only.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    end_of_line = lines_only.encode("\n").ids
+
+    def new_words(words: list[bytes]) -> list[bytes]:
+        out = [b""] * len(words)
+        lines = [i for i, w in enumerate(words) if b"\n" not in w] if len(end_of_line) == 1 else []
+        for k in range(0, len(lines), LINES):
+            part = lines[k : k + LINES]
+            text = b"\n".join([words[i] for i in part]).decode() + "\n"
+            ids = np.array(lines_only.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends, raw, s = (4 * np.flatnonzero(ids == end_of_line[0])).tolist(), ids.tobytes(), 0
+            for i, e in zip(part, ends, strict=True):
+                out[i] = raw[s:e]
+                s = e + 4
+        for i, w in enumerate(words):
+            if w and not out[i]:
+                out[i] = np.array(t.encode(w.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
+        return out
 
     special = tuple(a.content.encode() for a in t.get_added_tokens_decoder().values())
     return Encoder(new_words, lambda text: t.encode(text, add_special_tokens=False).ids, True, special)
@@ -62,7 +80,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, row_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, done = _encoder(shared.value), TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in (b.slice(s, e - s) for b in batches for s, e in chunks(b.column("text"))):
             flat, counts = encoder.batch(b.column("text"))
             ends = np.cumsum(counts)
             flat = np.insert(flat, ends, end_id).astype(np.int32)
