@@ -229,7 +229,8 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _ask_counts(parts: int):
     def run(sets: pa.Table) -> pa.Table:
-        """A block's shingles by part of the hash space."""
+        """A block's shingles by part of the hash space, sets in the order of their ids."""
+        sets = sets.sort_by("cid")
         hashes, _ = _joined(sets["shingles"], "<u8")
         part = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -297,7 +298,7 @@ def prefixes(sets: DataFrame, n_shingles: int, threshold: int) -> DataFrame:
     parts = max(8, math.ceil(n_shingles / PART_SHINGLES))
     blocks = max(8, math.ceil(n_shingles / PART_SHINGLES))
     s = sets.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "cid"), F.lit(blocks)))
-    asked = s.select("block", "shingles").groupBy("block").applyInArrow(_ask_counts(parts), "part int, block long, rest binary")
+    asked = s.select("block", "cid", "shingles").groupBy("block").applyInArrow(_ask_counts(parts), "part int, block long, rest binary")
     counts = asked.groupBy("part").applyInArrow(_count, "part int, block long, counts binary")
     # both sides of a block in the order of their keys, so that places agree
     return s.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_aligned(_prefix(parts, threshold)), _PREFIXES)
