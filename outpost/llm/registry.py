@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from outpost.llm import bpe, gif, jaccard, mixing, pii, quality, tokens, urlgraph, warc, words
+from outpost.llm import bpe, gif, jaccard, mixing, pii, quality, suffix, tokens, urlgraph, warc, words
 from outpost.sources import read_table
 
 
@@ -25,6 +25,10 @@ def op3_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlgraph.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op5_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.features(gif.store_texts(read_table(spark, sf_dir, "documents")))
 
@@ -52,7 +56,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op3_link_graph_urls, op5_gif_media, op6_bpe, op7_token_files, op8_ngram_jaccard_join, op9_quality_rules, op10_personal_data)}
+    found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op3_link_graph_urls, op4_suffix_dedup, op5_gif_media, op6_bpe, op7_token_files, op8_ngram_jaccard_join, op9_quality_rules, op10_personal_data)}
     return found
 
 
