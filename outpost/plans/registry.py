@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from outpost.plans import relational
+from outpost.plans import changes, relational
 
-_MODULES = (relational,)
+_MODULES = (relational, changes)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
