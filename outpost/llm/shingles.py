@@ -16,25 +16,28 @@ def _inverse(x: int) -> int:
     return pow(x, -1, 1 << 64)
 
 
+KEPT_POWERS = 1 << 21
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n of the base and of its inverse."""
+    """Powers 0 to n of the base and of its inverse, or more of them. Tables of ordinary size are kept."""
+    for size, tables in _powers.items():
+        if size > n:
+            return tables
     size = 1 << max(12, n.bit_length())
-    if size not in _powers:
-        with np.errstate(over="ignore"):
-            both = []
-            for base in (int(_R), _inverse(int(_R))):
-                p = np.ones(1, np.uint64)
-                step = base
-                while len(p) < size:
-                    p = np.concatenate((p, p * np.uint64(step)))
-                    step = step * step % (1 << 64)
-                both.append(p)
+    both = []
+    for base in (int(_R), _inverse(int(_R))):
+        p = np.ones(1, np.uint64)
+        step = base
+        while len(p) < size:
+            p = np.concatenate((p, p * np.uint64(step)))
+            step = step * step % (1 << 64)
+        both.append(p)
+    if size <= KEPT_POWERS:
         _powers.clear()
         _powers[size] = (both[0], both[1])
-    return _powers[size]
+    return both[0], both[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -44,6 +44,8 @@ from outpost.llm.store import write_table
 
 LENGTH = 50
 ANCHOR = 24
+#: Bytes of a block worked on at once.
+PIECE = 1 << 18
 #: Bytes of text for which there is one part of the hash space, and one bucket.
 PART_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
@@ -70,38 +72,52 @@ class Prefixes:
 
 class Anchors:
     """Anchor occurrences of a block: ``first`` window start, how ``many`` windows, place ``at`` of the
-    anchor, its ``hash``, and the text it is in."""
+    anchor, its ``hash``, a hash ``stretch`` of all bytes of its windows, and the text ``doc`` it is in."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        # pieces of whole texts that fit the processor's cache
+        cuts = np.unique(np.searchsorted(offsets, np.arange(0, len(data) + PIECE, PIECE)).clip(0, len(offsets) - 1))
+        found = [_anchors(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], int(offsets[i]), i) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if offsets[j] > offsets[i]]
         none = np.zeros(0, np.int64)
-        self.prefixes = Prefixes(data)
-        self.first = self.many = self.at = self.doc = none
-        self.hash = none.astype(np.uint64)
-        if len(data) < length:
-            return
-        starts = np.arange(len(data) - anchor + 1)
-        h = mix((self.prefixes.sums[anchor:] - self.prefixes.sums[:-anchor]) * self.prefixes.down[: len(starts)])
-        low = (h & ~np.uint64(0xFFFFFFFF)) | starts.astype(np.uint64)
-        need, span = length - anchor + 1, 1
-        while span * 2 <= need:
-            low = np.minimum(low[:-span], low[span:])
-            span *= 2
-        if need > span:
-            low = np.minimum(low[: len(low) - (need - span)], low[need - span :])
-        lengths = np.maximum(0, np.diff(offsets) - length + 1)
-        inside = np.zeros(len(data) + 1, np.int32)
-        np.add.at(inside, offsets[:-1], (lengths > 0).astype(np.int32))
-        np.add.at(inside, offsets[:-1] + lengths, -(lengths > 0).astype(np.int32))
-        window = np.flatnonzero(np.cumsum(inside)[: len(low)])
-        if not len(window):
-            return
-        at = (low[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        new = np.concatenate(([True], (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)))
-        runs = np.flatnonzero(new)
-        self.first, self.at = window[runs], at[runs]
-        self.many = np.diff(np.append(runs, len(window)))
-        self.hash = h[self.at]
-        self.doc = np.searchsorted(offsets, self.first, "right") - 1
+        empty = (none, none, none, none.astype(np.uint64), none.astype(np.uint64), none)
+        self.first, self.many, self.at, self.hash, self.stretch, self.doc = (np.concatenate(x) for x in zip(empty, *found, strict=True))
+
+
+def _anchors(data: np.ndarray, offsets: np.ndarray, base: int, base_doc: int) -> tuple[np.ndarray, ...]:
+    none = np.zeros(0, np.int64)
+    lengths = np.diff(offsets) - (LENGTH - 1)
+    fit = np.flatnonzero(lengths > 0)
+    if not len(fit):
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
+    prefixes = Prefixes(data)
+    h = prefixes.sums[ANCHOR:] - prefixes.sums[:-ANCHOR]
+    h *= prefixes.down[: len(h)]
+    h = mix(h)
+    low = h & ~np.uint64(0xFFFFFFFF)
+    low |= np.arange(len(h), dtype=np.uint64)
+    need, span = LENGTH - ANCHOR + 1, 1
+    while span * 2 <= need:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if need > span:
+        low = np.minimum(low[: len(low) - (need - span)], low[need - span :])
+    window = _spread(offsets[fit], lengths[fit])
+    at = low[window] if len(window) < len(low) else low
+    heads = np.cumsum(lengths[fit]) - lengths[fit]
+    new = np.empty(len(at), bool)
+    np.not_equal(at[1:], at[:-1], out=new[1:])
+    new[heads] = True
+    runs = np.flatnonzero(new)
+    first, at = window[runs], (at[runs] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    many = np.diff(np.append(runs, len(window)))
+    size = many + (LENGTH - 1)
+    stretch = mix(prefixes.of(first, size) + _shape(size, at - first))
+    return first + base, many, at + base, h[at], stretch, np.searchsorted(offsets, first, "right") - 1 + base_doc
+
+
+def _shape(size: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of a stretch's size and its anchor's place in it."""
+    return (size.astype(np.uint64) << np.uint64(8) | place.astype(np.uint64)) * np.uint64(0x9FB21C651E98DF25)
 
 
 def _runs(x: np.ndarray) -> np.ndarray:
@@ -115,7 +131,8 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _part(h: np.ndarray, parts: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    """Part of the hash space; ascending hashes are in ascending parts."""
+    return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
 def _cut(values: np.ndarray, edges: np.ndarray, chosen: list[int]) -> list[bytes]:
@@ -136,7 +153,7 @@ class Block:
         """Different anchor hashes in the order they are sent, the id of the one document that has each (or
         ``SEVERAL``), edges of the parts, and for each anchor occurrence its place among the hashes."""
         h = self.anchors.hash
-        order = np.lexsort((h, _part(h, parts)))
+        order = np.argsort(h)
         runs = _runs(h[order])
         ids = self.ids[self.anchors.doc[order]]
         low, high = (np.minimum.reduceat(ids, runs), np.maximum.reduceat(ids, runs)) if len(runs) else (ids, ids)
@@ -151,8 +168,7 @@ class Block:
         each, smallest id that has it, edges of the parts; the occurrences, and each one's stretch."""
         a = self.anchors
         at = np.flatnonzero(repeated)
-        size = a.many[at] + (LENGTH - 1)
-        key = mix(a.prefixes.of(a.first[at], size) + size.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + (a.at[at] - a.first[at]).astype(np.uint64))
+        key = a.stretch[at]
         order = np.lexsort((key, _part(a.hash[at], parts)))
         runs = _runs(key[order])
         one = at[order][runs]
@@ -178,7 +194,7 @@ def _ask(parts: int):
                 h, ids, edges, _ = block.questions(parts)
                 part = np.repeat(np.arange(parts), np.diff(edges))
                 # within a part by id, so that an id is sent once; the block sorts alike when it is told
-                order = np.lexsort((ids, part))
+                order = _by_part(part, ids)
                 ids, rest = ids[order], (h[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
                 starts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (part[1:] != part[:-1])))) if len(ids) else np.zeros(0, np.int64)
                 n = np.diff(np.append(starts, len(ids))).astype("<u4")
@@ -189,6 +205,12 @@ def _ask(parts: int):
     return run
 
 
+def _by_part(part: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Order by part, then id."""
+    _, place = np.unique(ids, return_inverse=True)
+    return np.argsort(part * (len(ids) + 1) + place, kind="stable")
+
+
 def _tell(messages: pa.Table) -> pa.Table:
     """For each anchor asked about, whether documents of different ids have it."""
     rests = messages["rest"].to_pylist()
@@ -237,7 +259,7 @@ def _repeated(block: Block, told: pa.Table, parts: int) -> np.ndarray:
     """For each anchor occurrence of the block, whether other documents have its anchor."""
     h, ids, edges, where = block.questions(parts)
     part = np.repeat(np.arange(parts), np.diff(edges))
-    order = np.lexsort((ids, part))
+    order = _by_part(part, ids)
     flags = np.zeros(len(h), bool)
     for p, bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
         n = int(edges[p + 1] - edges[p])
@@ -316,16 +338,20 @@ class SuffixOrder:
         return order
 
     def same(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Whether two suffixes agree in ``length`` bytes: by hash, then byte by byte."""
-        out = self.prefixes.of(x, self.length) == self.prefixes.of(y, self.length)
-        at = np.flatnonzero(out)
-        for k in range(self.length):
-            if not len(at):
-                break
-            bad = self.data[x[at] + k] != self.data[y[at] + k]
-            out[at[bad]] = False
-            at = at[~bad] if bad.any() else at
-        return out
+        """Whether two suffixes agree in ``length`` bytes: by hash, then by their bytes."""
+        equal = self.prefixes.of(x, self.length) == self.prefixes.of(y, self.length)
+        return equal & equal_bytes(self.data, x, y, self.length)
+
+
+def equal_bytes(data: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+    """Whether the strings at ``x`` and ``y`` are equal, eight bytes at a time (lengths of eight at least)."""
+    eight = np.ndarray((max(0, len(data) - 7),), "<u8", data.tobytes(), strides=(1,))
+    out = np.ones(len(x), bool)
+    last = np.asarray(length) - 8
+    for k in range(0, int(np.max(last, initial=0)) + 8, 8):
+        step = np.minimum(k, last)
+        out &= eight[x + step] == eight[y + step]
+    return out
 
 
 def least_ids(data: np.ndarray, sizes: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -333,28 +359,74 @@ def least_ids(data: np.ndarray, sizes: np.ndarray, at: np.ndarray, ids: np.ndarr
     windows each stretch has."""
     begin = np.cumsum(sizes) - sizes
     many = sizes - (LENGTH - 1)
-    start = _spread(begin, many)
-    of = np.repeat(np.arange(len(sizes)), many)
     order_ = SuffixOrder(data)
-    anchor = order_.prefixes.of(begin + at, ANCHOR)
-    group = mix(anchor[of] + (at[of] - (start - begin[of])).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+    # equal stretches count as one
+    key = mix(order_.prefixes.of(begin, sizes) + _shape(sizes, at))
+    by = np.argsort(key, kind="stable")
+    new = np.ones(len(by), bool)
+    near = np.flatnonzero(key[by][1:] == key[by][:-1])
+    x, y = by[near], by[near + 1]
+    new[1:][near] = ~((sizes[x] == sizes[y]) & (at[x] == at[y]) & equal_bytes(data, begin[x], begin[y], np.minimum(sizes[x], sizes[y])))
+    runs = np.flatnonzero(new)
+    one = by[runs]
+    least = np.minimum.reduceat(ids[by], runs) if len(runs) else ids
+    which = np.empty(len(by), np.int64)
+    which[by] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(by))))
+    # suffixes at the windows of different stretches, where an anchor has several
+    anchor = order_.prefixes.of(begin[one] + at[one], ANCHOR)
+    _, inverse, n = np.unique(anchor, return_inverse=True, return_counts=True)
+    several = np.flatnonzero(n[inverse] > 1)
+    start = _spread(begin[one[several]], many[one[several]])
+    of = np.repeat(several, many[one[several]])
+    place = at[one[of]] - (start - begin[one[of]])
+    group = mix(anchor[of] + place.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
     order = order_.sort(start, group)
-    s = start[order]
+    s, g = start[order], group[order]
     new = np.ones(len(s), bool)
-    if len(s) > 1:
-        near = np.flatnonzero(group[order][1:] == group[order][:-1])
-        new[1:][near] = ~order_.same(s[near], s[near + 1])
+    near = np.flatnonzero(g[1:] == g[:-1])
+    new[1:][near] = ~order_.same(s[near], s[near + 1])
     runs = np.flatnonzero(new)
-    out = np.empty(len(s), np.int64)
+    answer = np.empty(len(s), np.int64)
     if len(s):
-        out[order] = np.repeat(np.minimum.reduceat(ids[of][order], runs), np.diff(np.append(runs, len(s))))
-    return out, many
+        answer[order] = np.repeat(np.minimum.reduceat(least[of][order], runs), np.diff(np.append(runs, len(s))))
+    # answers of all windows of all different stretches, then of all stretches
+    each = many[one]
+    first = np.cumsum(each) - each
+    whole = np.repeat(least, each)
+    whole[_spread(first[several], each[several])] = answer
+    return whole[_spread(first[which], many)], many
+
+
+def _pieces(sizes: np.ndarray, may_end: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``PIECE`` bytes, which end only where they may."""
+    if not len(sizes):
+        return
+    total = np.cumsum(sizes)
+    stops = np.searchsorted(total, np.arange(PIECE, int(total[-1]) + PIECE, PIECE)).clip(0, len(sizes) - 1)
+    if may_end is not None:
+        ends = np.flatnonzero(may_end)
+        stops = ends[np.searchsorted(ends, stops)]
+    i = 0
+    for j in np.unique(np.append(stops, len(sizes) - 1)).tolist():
+        yield i, j + 1
+        i = j + 1
 
 
 def _sorted(messages: pa.Table) -> pa.Table:
     joined = lambda c, t: np.frombuffer(b"".join(messages[c].to_pylist()), t)
     sizes, at, ids = joined("sizes", "u1").astype(np.int64), joined("at", "u1").astype(np.int64), joined("ids", "<i8")
-    least, many = least_ids(joined("bytes", np.uint8), sizes, at, ids)
+    data, begin, many = joined("bytes", np.uint8), np.cumsum(sizes) - sizes, sizes - (LENGTH - 1)
+    # pieces that fit the processor's cache: stretches of one anchor stay together
+    anchor = np.empty(len(sizes), np.uint64)
+    for i, j in _pieces(sizes):
+        anchor[i:j] = Prefixes(data[begin[i] : begin[j - 1] + sizes[j - 1]]).of(begin[i:j] - begin[i] + at[i:j], ANCHOR)
+    by = np.argsort(anchor, kind="stable")
+    last = np.append(anchor[by][1:] != anchor[by][:-1], True) if len(by) else np.zeros(0, bool)
+    least, first = np.empty(int(many.sum()), np.int64), np.cumsum(many) - many
+    for i, j in _pieces(sizes[by], last):
+        own = by[i:j]
+        found, _ = least_ids(data[_spread(begin[own], sizes[own])], sizes[own], at[own], ids[own])
+        least[_spread(first[own], many[own])] = found
     # runs of equal answers within each stretch
     of = np.repeat(np.arange(len(sizes)), many)
     runs = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (least[1:] != least[:-1]))))
@@ -391,10 +463,10 @@ def removed_bytes(block: Block, told: pa.Table, back: pa.Table, parts: int) -> n
     occurrence = np.repeat(at, n)
     start = a.first[occurrence] + before[r] - np.repeat(before[first_run[where]], n) if len(r) else r
     gone = ids[r] < block.ids[a.doc[occurrence]]
-    edge = np.zeros(len(block.data) + 1, np.int64)
-    np.add.at(edge, start[gone], 1)
-    np.add.at(edge, start[gone] + lengths[r][gone] + (LENGTH - 1), -1)
-    return np.cumsum(edge[:-1]) > 0
+    n = len(block.data)
+    edge = np.bincount(start[gone], minlength=n + 1).astype(np.int32)
+    edge -= np.bincount(start[gone] + lengths[r][gone] + (LENGTH - 1), minlength=n + 1).astype(np.int32)
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def _mark(parts: int):
@@ -404,8 +476,8 @@ def _mark(parts: int):
         is_back = pc.is_valid(answers["counts"])
         gone = removed_bytes(block, answers.filter(pc.invert(is_back)), answers.filter(is_back), parts)
         kept = block.data[~gone].tobytes()
-        ends = np.concatenate(([0], np.cumsum(~gone)))[block.offsets].tolist()
-        sums = np.concatenate(([0], np.cumsum(gone)))
+        sums = np.concatenate(([0], np.cumsum(gone, dtype=np.int64)))
+        ends = (block.offsets - sums[block.offsets]).tolist()
         starts = gone & ~np.concatenate(([False], gone[:-1]))
         heads = block.offsets[:-1][block.sizes > 0]
         starts[heads] = gone[heads]
