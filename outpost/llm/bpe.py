@@ -186,3 +186,21 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", column: str = "dec
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, column])
 
     return rows.select(*kept).mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``docs`` without ``text``, with ``n_tokens``, ``ids`` and the digest of the text decoded from them."""
+    shared = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
+    kept = [c for c in docs.columns if c.lower() not in {"text", "n_tokens", "ids", "decoded_sha256"}]
+    added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded_sha256", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _loaded(shared.value)
+        for b in (b.slice(s, e - s) for b in batches for s, e in chunks(b.column("text"))):
+            flat, counts = bpe.encoder.batch(b.column("text"))
+            ends = np.cumsum(counts)
+            digests = [hashlib.sha256(bpe.decode(flat[s:e].tolist()).encode()).hexdigest() for s, e in zip((ends - counts).tolist(), ends.tolist(), strict=True)]
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(flat.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(counts, pa.int64()), ids, pa.array(digests, pa.string())], names=[*kept, *added.names])
+
+    return docs.select(*kept, "text").mapInArrow(run, T.StructType([docs.schema[c] for c in kept] + added.fields))

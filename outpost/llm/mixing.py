@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from outpost.llm.store import write_table
+from outpost.llm.words import WORD, word_count
 from outpost.operators.joins import lookup_join
 
 BLOCK_WORDS = 64
@@ -48,7 +49,7 @@ def targets(sources: DataFrame, passes: int = MOST_PASSES) -> DataFrame:
     })
     # the level if this source and all after it are below their caps; the right one is the first that it can bear
     s = s.withColumn("__level", F.when(F.col("__w") > 0, (F.col("__all") - F.col("__caps")) / F.col("__rest")))
-    s = s.withColumn("__level", F.min(F.when(F.col("__level") <= F.col("__fill"), F.struct("__fill", "__level"))).over(every)["__level"])
+    s = s.withColumn("__level", -F.min(F.when(F.col("__level") <= F.col("__fill"), F.struct("__fill", (-F.col("__level")).alias("__down")))).over(every)["__down"])
     target = F.when(F.col("__w") <= 0, 0.0).when(F.col("__level").isNull(), F.col("__cap")).otherwise(F.least("__cap", F.col("__level") * F.col("__w")))
     return s.withColumn("target", target).drop("__w", "__cap", "__fill", "__all", "__caps", "__rest", "__level")
 
@@ -85,7 +86,7 @@ def mix(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, shard_wor
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     sized = lookup_join(sizes, weights.select("source", "weight"), ["source"], "left")
     goal = targets(sized, passes).drop("weight")
-    blocks = F.floor(F.sum("source_size").over(Window.partitionBy("__one")) / F.lit(block))
+    blocks = F.round(F.sum("source_size").over(Window.partitionBy("__one")) / F.lit(block))
     goal = goal.withColumn("__one", F.lit(0)).withColumn("__blocks", blocks)
     goal = sainte_lague(goal, "target", F.col("__blocks"), ["__one"], [F.col("source").asc_nulls_last()], "quota")
     goal = goal.withColumn("shards", F.greatest(F.ceil(F.col("source_size") / F.lit(shard_words)), F.lit(1)).cast("long"))
@@ -131,3 +132,20 @@ def cycled_weights(docs: DataFrame, cycle: tuple[float, ...] = (5.0, 2.0, 1.0))
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())) - 1
     values = F.array(*[F.lit(float(w)) for w in cycle])
     return docs.select("source").distinct().withColumn("weight", F.element_at(values, (rank % len(cycle) + 1).cast("int")))
+
+
+def take(docs: DataFrame, weights: DataFrame, **method: int) -> DataFrame:
+    """The mix itself, with the columns of ``docs(doc_id, text, source, …)``: each row as many times as the
+    mix takes it whole, and once more with its first words if it takes a part. A row is known by its id and
+    its text, and rows equal in both are taken alike."""
+    pieces = F.filter(F.split("text", "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"), lambda x: x.rlike(WORD))
+    hashed = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    sizes = hashed.select(F.struct("doc_id", "__hash").alias("doc_id"), "source", word_count(F.col("text")).alias("size")).dropDuplicates(["doc_id"])
+    taken = mix(sizes, weights, **method).where("taken > 0").select("doc_id.doc_id", F.col("doc_id.__hash").alias("__hash"), F.col("size").alias("__size"), F.col("taken").alias("__taken"))
+    rows = hashed.join(write_table(taken, "taken"), ["doc_id", "__hash"])
+    whole, rest = F.expr("__taken div __size"), F.col("__taken") % F.col("__size")
+    part = F.when(rest > 0, F.array(F.array_join(F.slice(pieces, F.lit(1), rest.cast("int")), ""))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("text", F.explode(F.concat(F.array_repeat("text", whole.cast("int")), part)))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)

@@ -93,10 +93,11 @@ def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
     return d.select(
         "doc_id",
+        F.xxhash64("text").alias("text_hash"),
         bound(word_array(F.col("text")), of_words).alias("of_words"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", "of_words.n_words", "of_words.word_chars", "n_symbols", "n_dup_lines", "of_words.n_repeat_words", "of_words.grams")
+    ).select("doc_id", "text_hash", "of_words.n_words", "of_words.word_chars", "n_symbols", "n_dup_lines", "of_words.n_repeat_words", "of_words.grams")
 
 
 def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, target_rows: int = TARGET_ROWS) -> DataFrame:
@@ -128,3 +129,10 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold:
     out = stats.drop("grams").join(sums, "row", "left").withColumns({"base_failed": failed, "score": score})
     kept = ~F.col("base_failed") & (F.coalesce("score", F.lit(0)) >= threshold)
     return out.withColumn("kept", kept).drop("row", "sum", "n")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **rules: int) -> DataFrame:
+    """The rows of ``docs`` that are kept; all columns stay. A row is known by its id and its text."""
+    kept = judge(docs, labels, **rules).where("kept").select("doc_id", F.col("text_hash").alias("__hash")).distinct()
+    rows = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return rows.join(write_table(kept, "kept"), ["doc_id", "__hash"], "left_semi").select(*docs.columns)
