@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from outpost.functions.uri import parse_endpoint
-from outpost.operators import change, rows
+from outpost.operators import change, recursive, rows
 from outpost.operators.change import When
 from outpost.operators.joins import lookup_join
 from outpost.sources import TABLES, read_table
@@ -133,6 +133,42 @@ def s1_ordered_ingest(spark, d):
     return ingest.read_batches(spark, path, "event_id", total=4)
 
 
+def b99_recursive_union(spark, d):
+    """Customers reachable from customer 1 by stepping to (2 k) and (3 k) modulo the number of customers."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(_scratch(spark))
+    n = read_table(spark, d, "customer").count()
+    base = spark.range(1, 2).select(F.col("id").alias("k"))
+    return recursive.closure(base, lambda f: f.select(F.explode(F.array(F.col("k") * 2 % n, F.col("k") * 3 % n)).alias("k")))
+
+
+def b140_scalar_function(spark, d):
+    spark.sql("create or replace temporary function outpost_discounted(price double, cut double) returns double return price * (1 - cut)")
+    li = read_table(spark, d, "lineitem")
+    return spark.sql("select l_orderkey, l_linenumber, outpost_discounted(l_extendedprice, l_discount) as net from {li} where outpost_discounted(l_extendedprice, l_discount) > 90000", li=li)
+
+
+def b141_table_function(spark, d):
+    spark.sql("create or replace temporary function outpost_series(n int) returns table (i int) return select explode(sequence(1, n))")
+    return spark.sql("select n_nationkey, i from {nation}, lateral outpost_series(3)", nation=read_table(spark, d, "nation"))
+
+
+def b19_session_variable(spark, d):
+    spark.sql("declare or replace variable outpost_floor double default 0")
+    spark.sql("set var outpost_floor = 300000")
+    return spark.sql("select o_orderkey from {orders} where o_totalprice > outpost_floor", orders=read_table(spark, d, "orders"))
+
+
+def b40_two_namespaces(spark, d):
+    """The same folder attached twice, and a local frame, in one plan."""
+    from outpost.sources.namespace import attach
+
+    a, b = attach(spark, d, "a"), attach(spark, d, "b")
+    local = spark.createDataFrame([(i,) for i in range(0, 25, 3)], "k int")
+    nations = a.table("a.nation").join(local, F.col("n_nationkey") == F.col("k"))
+    return nations.join(b.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+
+
 _UPSERT = "from (select n_nationkey as k, n_regionkey as v from nation where n_nationkey < 15) t full join (select n_nationkey as k, n_regionkey * 10 as v from nation where n_nationkey >= 10) s on t.k = s.k"
 _MERGE = f"""select case when t.k is not null and s.k is not null and s.v > 30 then 'DELETE' when t.k is not null and s.k is not null then 'UPDATE'
     when t.k is null and s.v < 40 then 'INSERT' when s.k is null and t.k < 5 then 'UPDATE' end as merge_action, coalesce(t.k, s.k) as k, t.k is not null as old,
@@ -157,6 +193,11 @@ _ALL: dict[Callable[[SparkSession, str], DataFrame], str] = {
     b39_checked_broadcast_join: "select n_name, count(*) as n from customer join nation on n_nationkey = c_nationkey group by n_name",
     a46_catalog_tables: "select table_name, column_name from information_schema.columns where table_schema = 'main'",
     a72_endpoint_parser: "select n_nationkey, lower(n_name) || '.example.org' as host, case when n_nationkey % 2 = 0 then n_nationkey + 9000 else 9494 end as port, 'http://' || lower(n_name) || '.example.org:' || (case when n_nationkey % 2 = 0 then n_nationkey + 9000 else 9494 end) as url from nation",
+    b99_recursive_union: "with recursive r as (select cast(1 as bigint) as k union select unnest([k * 2 % (select count(*) from customer), k * 3 % (select count(*) from customer)]) as k from r) select k from r",
+    b140_scalar_function: "select l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) as net from lineitem where l_extendedprice * (1 - l_discount) > 90000",
+    b141_table_function: "select n_nationkey, cast(i as integer) as i from nation, (select unnest(range(1, 4)) as i)",
+    b19_session_variable: "select o_orderkey from orders where o_totalprice > 300000",
+    b40_two_namespaces: "select n_name, r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 3 = 0",
     s1_ordered_ingest: "select event_id, user_id, value from events",
 }
 
