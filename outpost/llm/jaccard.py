@@ -3,7 +3,9 @@
 Sets that are equal form one class, and classes are joined. A class can only have a partner if at least the
 threshold's share of its shingles occurs in another class, so all shingles are counted first; only classes
 that pass go on. Their shingles are put in one order, rare first. Two sets that are similar enough then share
-their first ``k`` common shingles within short prefixes, for ``k`` of 1 and 2 alike:
+their first ``k`` common shingles within short prefixes. In such a pair the smaller set must have more of its
+shingles in common, so a shorter prefix is enough for it, and two sets meet only where a key is in the shorter
+prefix of one of them. For ``k`` of 2 and 1:
 
 * light sets, of at most ``boundary`` shingles, are enumerated: each pair of shingles of its prefix is a
   key, and two light sets meet under an equal pair;
@@ -14,7 +16,7 @@ The boundary is the size at which enumerating pairs starts to cost more than the
 shingles would make one scan, from sums over all candidates.
 
 Under a key, no pairs are listed that can't change the result: in each of a few rounds every set is checked
-against one pivot of its keys, and connected sets are merged; what remains are pairs of different components,
+against the pivots of its keys, and connected sets are merged; what remains are pairs of different components,
 which are all checked. A bitmap of each set bounds the difference from below and rejects most pairs before
 their shingles are fetched. Whatever is decided is decided on the whole sets.
 
@@ -40,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from outpost.llm.components import components
 from outpost.llm.pretokens import buffers, chunks
@@ -308,15 +310,14 @@ def _aligned(f):
     return lambda sets, counts: f(sets.sort_by("cid"), counts.sort_by("part"))
 
 
-def boundary_of(p: DataFrame) -> int:
+def boundary_of(p: DataFrame, rounds: int = ROUNDS) -> int:
     """The set size up to which enumerating pairs of shingles costs no more than scanning lists would, summed
-    over all sets of a bin of sizes; bins grow by a quarter, so there are few."""
+    over all sets of a bin of sizes; bins grow by a quarter, so there are few. A list is scanned for as many
+    partners as it has, but no more than there are rounds of pivots and one."""
     m = F.col("misses")
     bin_of = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25))
-    costs = p.groupBy(bin_of.alias("bin")).agg(
-        F.max("n").alias("n"), F.sum((m + 2) * (m + 1) / 2).alias("light"),
-        F.sum(F.aggregate(F.slice("counts", 1, (m + 1).cast("int")), F.lit(0.0), lambda a, c: a + c)).alias("heavy"),
-    )
+    scanned = F.aggregate(F.slice("counts", 1, (m + 1).cast("int")), F.lit(0.0), lambda a, c: a + F.least(c, F.lit(rounds + 1)))
+    costs = p.groupBy(bin_of.alias("bin")).agg(F.max("n").alias("n"), F.sum((m + 2) * (m + 1) / 2).alias("light"), F.sum(scanned).alias("heavy"))
     rows = sorted(costs.collect(), key=lambda r: r["n"])  # a row per bin, about a hundred at most
     best, boundary, total = 0.0, 0, 0.0
     for r in rows:
@@ -327,23 +328,27 @@ def boundary_of(p: DataFrame) -> int:
 
 
 def keys(p: DataFrame, boundary: int, threshold: int) -> DataFrame:
-    """``key, cid``: pairs of prefix shingles of light sets, single ones of heavy sets and of those light
-    sets that may be similar to a heavy one."""
+    """``key, cid, n, misses, most``: pairs of prefix shingles of light sets, single ones of heavy sets and of
+    those light sets that may be similar to a heavy one.
+
+    ``most`` is the largest size of a partner under the key, if the key holds the first shingles in common:
+    ``t (n + n') / (100 + t)`` shingles must be common, and none before the key's last can be one but the
+    key's own. A pair counts under a key if each is within the other's ``most``; its first key is always one."""
     m = F.col("misses").cast("int")
-    two = F.slice("prefix", 1, m + 2)
-    pairs = F.flatten(F.transform(two, lambda x, i: F.transform(F.slice("prefix", i + 2, F.greatest(m + 1 - i, F.lit(0))), lambda y: F.xxhash64(F.lit(2), x, y))))
-    light = p.where(F.col("n") <= boundary).select(F.explode(pairs).alias("key"), "cid")
-    heavy = p.where(100 * F.col("n") > threshold * boundary).select(F.explode(F.transform(F.slice("prefix", 1, m + 1), lambda x: F.xxhash64(F.lit(1), x))).alias("key"), "cid")
-    return light.unionByName(heavy)
+    shared = F.col("misses") + F.ceil(F.col("n") * threshold / F.lit(100))
+    most = lambda skipped: F.floor((shared - skipped) * (100 + threshold) / F.lit(threshold)).cast("long") - F.col("n")
+    key = lambda h, skipped: F.struct(h.alias("key"), most(skipped).alias("most"))
+    two, rest = F.slice("prefix", 1, m + 2), lambda i: F.slice("prefix", i + 2, F.greatest(m + 1 - i, F.lit(0)))
+    pairs = F.flatten(F.transform(two, lambda x, i: F.transform(rest(i), lambda y, j: key(F.xxhash64(F.lit(2), x, y), i + j))))
+    ones = F.transform(F.slice("prefix", 1, m + 1), lambda x, i: key(F.xxhash64(F.lit(1), x), i))
+    light = p.where(F.col("n") <= boundary).select(F.explode(pairs).alias("k"), "cid", "n", "misses")
+    heavy = p.where(100 * F.col("n") > threshold * boundary).select(F.explode(ones).alias("k"), "cid", "n", "misses")
+    return light.unionByName(heavy).select("k.key", "cid", "n", "misses", "k.most")
 
 
 # ------------------------------------------------- checking
 
 
-def _enough(overlap: Column, a: Column, b: Column, threshold: int) -> Column:
-    return 100 * overlap >= threshold * (a + b - overlap)
-
-
 def plausible(pairs: DataFrame, p: DataFrame, threshold: int) -> DataFrame:
     """Pairs ``a, b`` whose sizes and bitmaps allow the threshold, with both sizes."""
     side = lambda s: p.select(F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"bits{s}"))
@@ -376,38 +381,44 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def linked(p: DataFrame, sets: DataFrame, k: DataFrame, threshold: int, rounds: int = ROUNDS) -> DataFrame:
-    """``id, label`` of every candidate class with a partner."""
+    """``id, label`` of every candidate class with a partner. Keys whose sets are all of one component are
+    done with. The pivot of a key is the set of which most shingles occur elsewhere: the original of a group
+    of edited copies, if it is there, which all of them are like even where no two of them are."""
     empty = p.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
     tried, edges, labels = empty, empty, None
+    lists = k.withColumn("label", F.col("cid"))
+
+    def counts(x: str, y: str):
+        """Whether the pair of sets with these column endings counts under its key."""
+        n, m, most, best = F.col(f"n{x}"), F.col(f"n{y}"), F.col(f"most{x}"), F.col(f"most{y}")
+        return (m <= most) & (n <= best) & (100 * n >= threshold * m) & (100 * m >= threshold * n)
+
     for r in range(rounds + 1):
-        lists = k if labels is None else k.join(labels.select(F.col("id").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-        lists = lists.withColumn("label", F.col("cid")) if labels is None else lists
-        # keys whose sets are not of one component yet
-        open_keys = lists.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.min_by("cid", F.xxhash64(F.lit(r), "cid")).alias("pivot"))
-        open_keys = open_keys.where("l0 <> l1").select("key", "pivot")
+        rank = F.when(F.col("most") >= F.col("n"), F.struct(F.col("misses") / F.col("n"), F.xxhash64(F.lit(r), "cid")))
+        state = lists.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max_by(F.struct("cid", "label", "n", "most"), rank).alias("p"), F.max(F.col("most") >= F.col("n")).alias("any"), F.min("n").alias("least"))
+        # a pair's smaller set is within its own bound
+        state = state.where("l0 <> l1 and any").select("key", "least", F.col("p.cid").alias("pivot"), F.col("p.label").alias("pl"), F.col("p.n").alias("np"), F.col("p.most").alias("mostp"))
+        lists = write_table(lists.join(state, "key").where("most >= least").drop("least"), "lists")
         if r < rounds:
-            of_pivot = lists.select("key", "cid", "label").join(open_keys, "key")
-            if labels is not None:
-                of_pivot = of_pivot.join(labels.select(F.col("id").alias("pivot"), F.col("label").alias("pl")), "pivot", "left").where(F.coalesce("pl", "pivot") != F.col("label"))
-            pairs = of_pivot.where("cid <> pivot").select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"), "cid", "pivot")
-            counted = pairs.groupBy("a", "b", "cid", "pivot").agg(F.count(F.lit(1)).alias("n")).join(tried, ["a", "b"], "left_anti")
-            best = counted.groupBy("cid").agg(F.max_by(F.struct("a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("x"))
-            todo = best.select("x.a", "x.b").distinct()
+            pairs = lists.where((F.col("label") != F.col("pl")) & counts("", "p")).select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
+            todo = pairs.distinct().join(tried, ["a", "b"], "left_anti")
+            # a pivot has met all others of its key
+            lists = lists.where("cid <> pivot")
         else:
-            left = lists.join(open_keys.select("key"), "key").select("key", F.col("cid").alias("x"), F.col("label").alias("lx"))
-            right = left.select("key", F.col("x").alias("y"), F.col("lx").alias("ly"))
-            todo = left.join(right, "key").where("x < y and lx <> ly").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+            side = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("cid", "label", "n", "most")]
+            x, y = lists.where("most >= n").select("key", *side("x")), lists.select("key", *side("y"))
+            fits = (F.col("labelx") != F.col("labely")) & (F.col("nx") <= F.col("ny")) & counts("x", "y")
+            todo = x.join(y, "key").where(fits).select(F.least("cidx", "cidy").alias("a"), F.greatest("cidx", "cidy").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         todo = write_table(todo, "pairs")
-        if todo.isEmpty():
-            if r < rounds:
-                continue
-            break
         known = write_table(verified(plausible(todo, p, threshold), sets, threshold).where("ok").select("a", "b"), "links")
         tried = tried.unionByName(todo)
+        lists = lists.drop("pivot", "pl", "np", "mostp")
         if known.isEmpty():
             continue
         edges = edges.unionByName(known)
-        labels = components(edges)
+        labels = write_table(components(edges), "labels")
+        now = labels.select(F.col("id").alias("cid"), F.col("label").alias("now"))
+        lists = lists.join(now, "cid", "left").withColumn("label", F.coalesce("now", "label")).drop("now")
     return labels if labels is not None else empty.select(F.col("a").alias("id"), F.col("b").alias("label"))
 
 
@@ -433,3 +444,9 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS, boun
     classes = write_table(classes.join(least, "label").select("k1", "k2", "component_id"), "components")
     found = full.join(classes, ["k1", "k2"]).select("doc_id", "n_shingles", "component_id")
     return found.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose id is their component's, one of each id; all columns stay."""
+    kept = join(docs.select("doc_id", "text"), threshold).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(write_table(kept, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
