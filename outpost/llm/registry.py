@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -57,7 +58,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f.__name__: f for f in (op1_warc_derivatives, op2_mix_sources, op3_link_graph_urls, op4_suffix_dedup, op5_gif_media, op6_bpe, op7_token_files, op8_ngram_jaccard_join, op9_quality_rules, op10_personal_data)}
-    return found
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
