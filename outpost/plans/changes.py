@@ -159,6 +159,17 @@ def b19_session_variable(spark, d):
     return spark.sql("select o_orderkey from {orders} where o_totalprice > outpost_floor", orders=read_table(spark, d, "orders"))
 
 
+def a86_prepared(spark, d):
+    """The same statement with other values; tables are bound when it runs."""
+    text = "select o_orderkey, o_totalprice from {orders} where o_totalprice > :floor and o_orderstatus = :status"
+    run = lambda **values: spark.sql(text, args=values, orders=read_table(spark, d, "orders"))
+    return run(floor=400000.0, status="F").unionByName(run(floor=450000.0, status="O"))
+
+
+def a12_generators(spark, d):
+    return spark.range(3, 12, 2).select(F.col("id").alias("i"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("j"))
+
+
 def b40_two_namespaces(spark, d):
     """The same folder attached twice, and a local frame, in one plan."""
     from outpost.sources.namespace import attach
@@ -197,6 +208,8 @@ _ALL: dict[Callable[[SparkSession, str], DataFrame], str] = {
     b140_scalar_function: "select l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) as net from lineitem where l_extendedprice * (1 - l_discount) > 90000",
     b141_table_function: "select n_nationkey, cast(i as integer) as i from nation, (select unnest(range(1, 4)) as i)",
     b19_session_variable: "select o_orderkey from orders where o_totalprice > 300000",
+    a86_prepared: "select o_orderkey, o_totalprice from orders where (o_totalprice > 400000 and o_orderstatus = 'F') or (o_totalprice > 450000 and o_orderstatus = 'O')",
+    a12_generators: "select i, cast(j as integer) as j from (select unnest(range(3, 12, 2)) as i), (select unnest(range(1, 4)) as j)",
     b40_two_namespaces: "select n_name, r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 3 = 0",
     s1_ordered_ingest: "select event_id, user_id, value from events",
 }

@@ -30,6 +30,13 @@ SQL: dict[str, tuple[str, str | None]] = {
     "b15_hashes": ("select c_custkey, md5(c_name) as m, sha2(c_name, 256) as s from {customer}", "select c_custkey, md5(c_name) as m, sha256(c_name) as s from {customer}"),
     "b16_dates": ("select o_orderkey, o_orderdate + make_dt_interval(0,0,0,o_orderkey) as later, cast(year(o_orderdate) as bigint) as y, cast(date_trunc('month', o_orderdate) as timestamp_ntz) as m from {orders}", "select o_orderkey, o_orderdate + interval (o_orderkey) second as later, cast(year(o_orderdate) as bigint) as y, cast(date_trunc('month', o_orderdate) as timestamp) as m from {orders}"),
     "b17_json": ("select event_id, cast(get_json_object(props,'$.k') as int) as k from {events}", "select event_id, cast(json_extract_string(props,'$.k') as integer) as k from {events}"),
+    "b34_join_cross": ("select r_name, n_name from {region} cross join {nation} where n_nationkey < 5", None),
+    "b35_join_theta": ("select a.s_suppkey as s1, b.s_suppkey as s2 from {supplier} a join {supplier} b on a.s_acctbal > b.s_acctbal + 9000", None),
+    "b43_lateral_nested": ("select r_name, n_name, m.n as n from {region} join {nation} on n_regionkey = r_regionkey, lateral (select cast(count(*) as bigint) as n from {supplier} where s_nationkey = n_nationkey and s_acctbal > r_regionkey * 1000) m", None),
+    "b58_group_by_subquery": ("select g, cast(count(*) as bigint) as n from (select o_orderkey % (select count(*) from {region}) as g from {orders}) group by g", None),
+    "b74_order_by_subquery": ("select n_nationkey from {nation} order by (select max(r_regionkey) from {region}) - n_nationkey, n_nationkey limit 3", None),
+    "b96_cte_set_operation": ("with u as (select c_nationkey as k from {customer} union select s_nationkey as k from {supplier}) select k from u where k > 10", None),
+    "b98_rec_cte_join": ("with recursive w(k, depth) as (select n_nationkey, 0 from {nation} where n_regionkey = 1 union all select w.k + 1, depth + 1 from w join {region} on r_regionkey = depth where depth < 3) select cast(k as bigint) as k, cast(depth as bigint) as depth from w", None),
     "b20_except_column": ("select * except (n_name) from {nation}", "select * exclude (n_name) from {nation}"),
     "b21_from_first": ("from {region} select r_name", None),
     "b22_constant": ("select 42 as a, 43 as b", None),

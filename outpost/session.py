@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 
@@ -20,3 +23,18 @@ def build_session(app: str = "outpost", master: str | None = None, **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def tagged(spark: SparkSession, name: str) -> Iterator[None]:
+    """Jobs started inside carry a tag, by which ``cancel`` finds them from another thread."""
+    spark.sparkContext.addJobTag(name)
+    try:
+        yield
+    finally:
+        spark.sparkContext.removeJobTag(name)
+
+
+def cancel(spark: SparkSession, name: str) -> None:
+    """Cancel what runs under a tag, from any thread; without such jobs nothing happens."""
+    spark.sparkContext.cancelJobsWithTag(name)
