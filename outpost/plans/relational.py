@@ -85,7 +85,7 @@ SQL: dict[str, tuple[str, str | None]] = {
     "tpch_q3": ("select l_orderkey, round(sum(l_extendedprice*(1-l_discount)),2) as revenue, o_orderdate from {customer},{orders},{lineitem} where c_mktsegment='BUILDING' and c_custkey=o_custkey and l_orderkey=o_orderkey and o_orderdate < timestamp_ntz '1998-03-15' and l_shipdate > timestamp_ntz '1998-03-15' group by l_orderkey,o_orderdate order by revenue desc, o_orderdate, l_orderkey limit 10", "timestamp"),
     "tpch_q5": ("select n_name, round(sum(l_extendedprice*(1-l_discount)),2) as revenue from {customer},{orders},{lineitem},{supplier},{nation},{region} where c_custkey=o_custkey and l_orderkey=o_orderkey and l_suppkey=s_suppkey and c_nationkey=s_nationkey and s_nationkey=n_nationkey and n_regionkey=r_regionkey and r_name=(select min(r_name) from {region}) group by n_name", None),
     "tpch_q6": ("select round(sum(l_extendedprice*l_discount),2) as revenue from {lineitem} where l_shipdate >= timestamp_ntz '1996-01-01' and l_shipdate < timestamp_ntz '1997-01-01' and l_discount between 0.05 and 0.07 and l_quantity < 24", "timestamp"),
-    "tpch_q7": ("select supp, cust, y, round(sum(v),2) as revenue from (select a.n_name as supp, b.n_name as cust, cast(year(l_shipdate) as bigint) as y, l_extendedprice*(1-l_discount) as v from {supplier} join {lineitem} on s_suppkey=l_suppkey join {orders} on o_orderkey=l_orderkey join {customer} on c_custkey=o_custkey join {nation} a on s_nationkey=a.n_nationkey join {nation} b on c_nationkey=b.n_nationkey where a.n_regionkey = 1 and b.n_regionkey = 2) group by supp, cust, y", None),
+    "tpch_q7": ("select supp, cust, y, cast(sum(cast(v as decimal(18,4))) as double) as revenue from (select a.n_name as supp, b.n_name as cust, cast(year(l_shipdate) as bigint) as y, l_extendedprice*(1-l_discount) as v from {supplier} join {lineitem} on s_suppkey=l_suppkey join {orders} on o_orderkey=l_orderkey join {customer} on c_custkey=o_custkey join {nation} a on s_nationkey=a.n_nationkey join {nation} b on c_nationkey=b.n_nationkey where a.n_regionkey = 1 and b.n_regionkey = 2) group by supp, cust, y", None),
     "tpch_q8": ("select y, round(sum(case when r = 2 then v else 0 end) / sum(v), 6) as share from (select cast(year(o_orderdate) as bigint) as y, l_extendedprice*(1-l_discount) as v, n_regionkey as r from {part} join {lineitem} on p_partkey=l_partkey join {orders} on o_orderkey=l_orderkey join {supplier} on s_suppkey=l_suppkey join {nation} on s_nationkey=n_nationkey where p_type = 'PROMO') group by y", None),
     "tpch_q10": ("select c_custkey, c_name, round(sum(l_extendedprice*(1-l_discount)),2) as revenue, n_name from {customer} join {orders} on c_custkey=o_custkey join {lineitem} on l_orderkey=o_orderkey join {nation} on n_nationkey=c_nationkey where l_returnflag='R' and o_orderdate >= timestamp_ntz '1997-01-01' and o_orderdate < timestamp_ntz '1997-04-01' group by c_custkey, c_name, n_name", "timestamp"),
     "tpch_q13": ("select n_orders, cast(count(*) as bigint) as n_customers from (select c_custkey, cast(count(o_orderkey) as bigint) as n_orders from {customer} left join {orders} on c_custkey=o_custkey group by c_custkey) group by n_orders", None),
