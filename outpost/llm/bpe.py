@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from outpost.llm.pretokens import Encoder, chunks
+from outpost.llm.store import small_batches
 
 #: How the tokenizer's file cuts words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -61,7 +62,7 @@ class WordBpe:
         own = Tokenizer.from_str(definition)
         self.normalizer, self.splitter = own.normalizer, own.pre_tokenizer
         self.known: set[str] = set()
-        self.encoder = Encoder(lambda ws: [array('I', self.word(w)).tobytes() for w in ws], self.odd_text, False, tuple(s.encode() for s in self.added))
+        self.encoder = Encoder(lambda ws: [array('I', self.word(w)).tobytes() for w in ws], self.odd_text, False, tuple(s.encode() for s in self.added), keep=80_000)
 
     def word(self, word: bytes) -> list[int]:
         """Ids of one word."""
@@ -137,6 +138,7 @@ def load(path: str) -> str:
 
 def encode(docs: DataFrame, tokenizer: str, column: str = "ids") -> DataFrame:
     """``docs`` with the ids of ``text`` in ``column`` (array of int). tokenizer: path of the JSON file."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
     kept = [c for c in docs.columns if c.lower() != column.lower()]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(column, T.ArrayType(T.IntegerType(), False))])
@@ -156,6 +158,7 @@ _DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encoded, and decoded again, in one pass."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +178,7 @@ def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``rows`` with the text of ``ids`` in ``column``; null ids give null."""
+    small_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(load(tokenizer))
     kept = [c for c in rows.columns if c.lower() != column.lower()]
     schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(column, T.StringType())])
@@ -190,6 +194,7 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", column: str = "dec
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens``, ``ids`` and the digest of the text decoded from them."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
     kept = [c for c in docs.columns if c.lower() not in {"text", "n_tokens", "ids", "decoded_sha256"}]
     added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded_sha256", T.StringType())])

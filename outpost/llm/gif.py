@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from outpost.llm.store import small_batches
+
 WIDTH = 192
 FRAME_ROWS = 64
 DELAY_CS = 4
@@ -325,6 +327,7 @@ def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
 
 def store_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, media``: UTF-8 texts, padded with blanks to whole rows of samples, as GIF bytes."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -353,6 +356,7 @@ _FRAMES = "doc_id long, frame int, start_ms long, delay_ms int, left int, top in
 def frames(stored: DataFrame) -> DataFrame:
     """``stored(doc_id, media)`` to one row per frame: its time, place and rules, histograms of the canvas as
     shown, and the canvas itself as RGBA bytes."""
+    small_batches(stored.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pandas as pd
@@ -382,6 +386,7 @@ _FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 strin
 def features(stored: DataFrame) -> DataFrame:
     """``store_texts``' rows to digests of what the stored bytes show: the red samples of each frame's area,
     read from the drawn canvas, and as ``feature`` the frames, their time and their red histogram."""
+    small_batches(stored.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, functions as F
 from outpost.llm.components import components
 from outpost.llm.pretokens import buffers, chunks
 from outpost.llm.shingles import shingle_sets
-from outpost.llm.store import write_table
+from outpost.llm.store import small_batches, write_table
 from outpost.operators.joins import lookup_join
 
 THRESHOLD = 80
@@ -424,6 +424,7 @@ def linked(p: DataFrame, sets: DataFrame, k: DataFrame, threshold: int, rounds:
 
 def join(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS, boundary: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
+    small_batches(docs.sparkSession)
     rows = write_table(set_keys(docs), "sets")
     full = rows.where("n_shingles > 0")
     classes = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))

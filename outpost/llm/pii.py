@@ -27,6 +27,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from outpost.llm.store import small_batches
+
 #: Kinds in the order of the listing.
 KINDS = ("email", "ip", "card", "phone", "url", "account", "secret")
 BASE = KINDS[:4]
@@ -215,6 +217,7 @@ _REPORT = T.StructType(
 
 def find(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` to counts of the base kinds, a digest of the base spans, and all spans."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,6 +237,7 @@ def find(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with each span of ``text`` replaced by its kind in angle brackets; all columns stay."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

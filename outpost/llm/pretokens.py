@@ -71,8 +71,8 @@ class Encoder:
     text that is not plain; ``tiled`` cuts as byte-level tokenizers do (a word keeps one space before it and
     white space counts), else white space is dropped, digits stand alone and letters are lowered."""
 
-    def __init__(self, new_words: Callable[[list[bytes]], list[bytes]], odd_text: Callable[[str], list[int]], tiled: bool, special: tuple[bytes, ...]):
-        self.new_words, self.odd_text, self.tiled, self.special = new_words, odd_text, tiled, special
+    def __init__(self, new_words: Callable[[list[bytes]], list[bytes]], odd_text: Callable[[str], list[int]], tiled: bool, special: tuple[bytes, ...], keep: int = KEEP_WORDS):
+        self.new_words, self.odd_text, self.tiled, self.special, self.keep = new_words, odd_text, tiled, special, keep
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -88,7 +88,7 @@ class Encoder:
                     missing.append(i)
         for i, ids in zip(missing, self.new_words([words[i] for i in missing]) if missing else [], strict=True):
             young[words[i]] = out[i] = ids
-        if len(young) > KEEP_WORDS:
+        if len(young) > self.keep:
             self.old, self.young = young, {}
         return out
 

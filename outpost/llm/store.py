@@ -28,3 +28,16 @@ def write_table(df: DataFrame, name: str, **options: str) -> DataFrame:
     path = f"{shared_dir(spark)}/outpost-{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of a batch that Spark hands to Python, at most.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand rows to Python in small batches, as texts may be long: what a batch takes in a task, and
+    in its JVM, is bounded by bytes and not by rows. A smaller setting of the session stays."""
+    size = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))

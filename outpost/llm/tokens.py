@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from outpost.llm.bpe import load
 from outpost.llm.pretokens import Encoder, chunks
-from outpost.llm.store import shared_dir
+from outpost.llm.store import shared_dir, small_batches
 from outpost.operators.joins import lookup_join
 
 END_ID = 2
@@ -76,6 +76,7 @@ def _encoder(definition: str) -> Encoder:
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, row_group: int = ROW_GROUP_BYTES, page: int = PAGE_BYTES) -> None:
     """Write ``docs(doc_id, text)`` as token files under ``path``. tokenizer: path of a byte-level tokenizer's file."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,6 +111,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def checksums(rows: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of what ``read`` gives, counted from the ids themselves."""
+    small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
