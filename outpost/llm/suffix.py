@@ -9,7 +9,8 @@ an anchor occurrence stands for a run of windows.
 1. Blocks of texts tell each part of the hash space which anchors they hold, and learn which of them occur
    in other documents too. The rest can't be repeated and goes no further.
 2. For those anchors blocks send the bytes that their windows cover (each different stretch once a block,
-   with the smallest id that has it). Each part of the hash space sorts the suffixes at all window starts
+   with the smallest id that has it; windows of anchors that many blocks hold are filed under the smallest
+   hash beside the anchor's own as well, so that no anchor gathers all its surroundings). Each part of the hash space sorts the suffixes at all window starts
    among suffixes of the same anchor and place: a mergesort whose comparisons find the common extension of
    two suffixes by binary search over prefix polynomial hashes, and then look at one byte. Neighbours that
    agree in ``LENGTH`` bytes by their hashes are compared byte by byte, so that a collision can't remove
@@ -40,10 +41,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from outpost.llm.pretokens import buffers, chunks
 from outpost.llm.shingles import mix, powers
-from outpost.llm.store import write_table
+from outpost.llm.store import small_batches, write_table
 
 LENGTH = 50
 ANCHOR = 24
+#: An anchor held by so many blocks may have very many surroundings; its windows are filed by a second one too.
+COMMON_BLOCKS = 32
 #: Bytes of a block worked on at once.
 PIECE = 1 << 18
 #: Bytes of text for which there is one part of the hash space, and one bucket.
@@ -112,7 +115,8 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, base: int, base_doc: int) ->
     many = np.diff(np.append(runs, len(window)))
     size = many + (LENGTH - 1)
     stretch = mix(prefixes.of(first, size) + _shape(size, at - first))
-    return first + base, many, at + base, h[at], stretch, np.searchsorted(offsets, first, "right") - 1 + base_doc
+    # the smallest of many hashes is small: mixed again, so that anchors spread evenly over the parts
+    return first + base, many, at + base, mix(h[at]), stretch, np.searchsorted(offsets, first, "right") - 1 + base_doc
 
 
 def _shape(size: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -163,27 +167,50 @@ class Block:
         edges = np.searchsorted(_part(different, parts), np.arange(parts + 1))
         return different, np.where(low == high, low, SEVERAL), edges, where
 
-    def stretches(self, repeated: np.ndarray, parts: int):
-        """Different stretches of bytes around repeated anchors, ordered by part: place of one occurrence of
-        each, smallest id that has it, edges of the parts; the occurrences, and each one's stretch."""
+    def occurrences(self, repeated: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Runs of windows to be sorted: first window, how many, place of the anchor, the hash they are filed
+        under, hash of their bytes, text. Those of anchors with very many surroundings are cut further, by the
+        smallest hash beside the anchor's own."""
         a = self.anchors
-        at = np.flatnonzero(repeated)
-        key = a.stretch[at]
-        order = np.lexsort((key, _part(a.hash[at], parts)))
-        runs = _runs(key[order])
-        one = at[order][runs]
-        ids = self.ids[a.doc[at[order]]]
+        at = np.flatnonzero(repeated & ~common)
+        plain = [x[at] for x in (a.first, a.many, a.at, a.hash, a.stretch, a.doc)]
+        at = np.flatnonzero(repeated & common)
+        if not len(at):
+            return tuple(plain)
+        prefixes = Prefixes(self.data)
+        window, of = _spread(a.first[at], a.many[at]), np.repeat(at, a.many[at])
+        own = mix(prefixes.of(a.at[of], ANCHOR))
+        second = np.full(len(window), np.iinfo(np.uint64).max, np.uint64)
+        for k in range(LENGTH - ANCHOR + 1):
+            h = mix(prefixes.of(window + k, ANCHOR))
+            np.minimum(second, h, out=second, where=h != own)
+        runs = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (second[1:] != second[:-1]))))
+        first, of = window[runs], of[runs]
+        many = np.diff(np.append(runs, len(window)))
+        filed = mix(a.hash[of] + second[runs] * np.uint64(0x9FB21C651E98DF25))
+        size = many + (LENGTH - 1)
+        stretch = mix(prefixes.of(first, size) + _shape(size, a.at[of] - first))
+        return tuple(np.concatenate(x) for x in zip(plain, (first, many, a.at[of], filed, stretch, a.doc[of]), strict=True))
+
+    def stretches(self, runs_of: tuple[np.ndarray, ...], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Different stretches of bytes, ordered by part: place of one occurrence of each, smallest id that
+        has it, edges of the parts; and each occurrence's stretch."""
+        _, _, _, filed, key, doc = runs_of
+        part = _part(filed, parts)
+        order = np.lexsort((key, part))
+        runs = np.flatnonzero(np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (part[order][1:] != part[order][:-1])))) if len(key) else np.zeros(0, np.int64)
+        one = order[runs]
+        ids = self.ids[doc[order]]
         least = np.minimum.reduceat(ids, runs) if len(runs) else ids
-        where = np.empty(len(at), np.int64)
-        where[order] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(at))))
-        edges = np.searchsorted(_part(a.hash[one], parts), np.arange(parts + 1))
-        return one, least, edges, at, where
+        where = np.empty(len(key), np.int64)
+        where[order] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(key))))
+        return one, least, np.searchsorted(part[one], np.arange(parts + 1)), where
 
 
 # ------------------------------------------------- which anchors are repeated
 
 _ASK = "part int, block long, rest binary, ids binary, runs binary"
-_TOLD = "block long, part int, bits binary"
+_TOLD = "block long, part int, bits binary, common binary"
 
 
 def _ask(parts: int):
@@ -211,22 +238,25 @@ def _by_part(part: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.argsort(part * (len(ids) + 1) + place, kind="stable")
 
 
-def _tell(messages: pa.Table) -> pa.Table:
-    """For each anchor asked about, whether documents of different ids have it."""
-    rests = messages["rest"].to_pylist()
-    rest = np.frombuffer(b"".join(rests), "<u4")
-    ids = np.repeat(np.frombuffer(b"".join(messages["ids"].to_pylist()), "<i8"), np.frombuffer(b"".join(messages["runs"].to_pylist()), "<u4").astype(np.int64))
-    order = np.argsort(rest, kind="stable")
-    s, t = rest[order], ids[order]
-    runs = _runs(s)
-    low, high = np.minimum.reduceat(t, runs), np.maximum.reduceat(t, runs)
-    told = np.empty(len(rest), bool)
-    told[order] = np.repeat((low != high) | (low == SEVERAL), np.diff(np.append(runs, len(s))))
-    out, at = [], 0
-    for r in rests:
-        out.append(np.packbits(told[at : at + len(r) // 4]).tobytes())
-        at += len(r) // 4
-    return pa.table({"block": messages["block"], "part": messages["part"], "bits": pa.array(out, pa.binary())})
+def _tell(common_blocks: int):
+    def run(messages: pa.Table) -> pa.Table:
+        """For each anchor asked about, whether documents of different ids have it, and whether many blocks do."""
+        rests = messages["rest"].to_pylist()
+        rest = np.frombuffer(b"".join(rests), "<u4")
+        ids = np.repeat(np.frombuffer(b"".join(messages["ids"].to_pylist()), "<i8"), np.frombuffer(b"".join(messages["runs"].to_pylist()), "<u4").astype(np.int64))
+        order = np.argsort(rest, kind="stable")
+        s, t = rest[order], ids[order]
+        runs = _runs(s)
+        low, high = np.minimum.reduceat(t, runs), np.maximum.reduceat(t, runs)
+        n = np.diff(np.append(runs, len(s)))
+        told, common = np.empty(len(rest), bool), np.empty(len(rest), bool)
+        told[order] = np.repeat((low != high) | (low == SEVERAL), n)
+        common[order] = np.repeat(n >= common_blocks, n)
+        edges = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rests])))
+        packed = lambda x: pa.array([np.packbits(x[i:j]).tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+        return pa.table({"block": messages["block"], "part": messages["part"], "bits": packed(told), "common": packed(common)})
+
+    return run
 
 
 # ------------------------------------------------- sorting suffixes
@@ -239,32 +269,33 @@ def _send(parts: int):
     def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
         row = blocks.to_pylist()[0]
         block = Block(row["ids"], row["sizes"], row["text"])
-        repeated = _repeated(block, told, parts)
-        one, least, edges, _, _ = block.stretches(repeated, parts)
-        a = block.anchors
-        size = a.many[one] + (LENGTH - 1)
-        joined = block.data[_spread(a.first[one], size)]
+        runs_of = block.occurrences(*_repeated(block, told, parts))
+        one, least, edges, _ = block.stretches(runs_of, parts)
+        first, many, at = (x[one] for x in runs_of[:3])
+        size = many + (LENGTH - 1)
+        joined = block.data[_spread(first, size)]
         byte_edges = np.concatenate(([0], np.cumsum(size)))[edges]
         chosen = np.flatnonzero(np.diff(edges)).tolist()
         return pa.table({
             "part": pa.array(chosen, pa.int32()), "block": pa.array([row["block"]] * len(chosen), pa.int64()),
             "bytes": pa.array(_cut(joined, byte_edges, chosen), pa.binary()), "sizes": pa.array(_cut(size.astype("u1"), edges, chosen), pa.binary()),
-            "at": pa.array(_cut((a.at[one] - a.first[one]).astype("u1"), edges, chosen), pa.binary()), "ids": pa.array(_cut(least.astype("<i8"), edges, chosen), pa.binary()),
+            "at": pa.array(_cut((at - first).astype("u1"), edges, chosen), pa.binary()), "ids": pa.array(_cut(least.astype("<i8"), edges, chosen), pa.binary()),
         })
 
     return run
 
 
-def _repeated(block: Block, told: pa.Table, parts: int) -> np.ndarray:
-    """For each anchor occurrence of the block, whether other documents have its anchor."""
+def _repeated(block: Block, told: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each anchor occurrence of the block, whether other documents have its anchor, and many blocks."""
     h, ids, edges, where = block.questions(parts)
     part = np.repeat(np.arange(parts), np.diff(edges))
     order = _by_part(part, ids)
-    flags = np.zeros(len(h), bool)
-    for p, bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
+    flags = np.zeros((2, len(h)), bool)
+    for p, *bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), told["common"].to_pylist(), strict=True):
         n = int(edges[p + 1] - edges[p])
-        flags[order[edges[p] : edges[p + 1]]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n).astype(bool)
-    return flags[where]
+        for k in range(2):
+            flags[k, order[edges[p] : edges[p + 1]]] = np.unpackbits(np.frombuffer(bits[k], np.uint8), count=n).astype(bool)
+    return flags[0, where], flags[1, where]
 
 
 class SuffixOrder:
@@ -448,8 +479,9 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256
 
 def removed_bytes(block: Block, told: pa.Table, back: pa.Table, parts: int) -> np.ndarray:
     """Whether each byte of the block goes."""
-    a = block.anchors
-    one, _, edges, at, where = block.stretches(_repeated(block, told, parts), parts)
+    runs_of = block.occurrences(*_repeated(block, told, parts))
+    first, _, _, _, _, doc = runs_of
+    _, _, _, where = block.stretches(runs_of, parts)
     counts = [np.zeros(0, np.int64)] * parts
     lengths, ids = list(counts), list(counts)
     for p, c, n, i in zip(*[back[x].to_pylist() for x in ("part", "counts", "lengths", "ids")], strict=True):
@@ -460,9 +492,8 @@ def removed_bytes(block: Block, told: pa.Table, back: pa.Table, parts: int) -> n
     # the runs of each occurrence: from its stretch, moved to its place
     n = counts[where]
     r = _spread(first_run[where], n)
-    occurrence = np.repeat(at, n)
-    start = a.first[occurrence] + before[r] - np.repeat(before[first_run[where]], n) if len(r) else r
-    gone = ids[r] < block.ids[a.doc[occurrence]]
+    start = np.repeat(first, n) + before[r] - np.repeat(before[first_run[where]], n) if len(r) else r
+    gone = ids[r] < block.ids[np.repeat(doc, n)]
     n = len(block.data)
     edge = np.bincount(start[gone], minlength=n + 1).astype(np.int32)
     edge -= np.bincount(start[gone] + lengths[r][gone] + (LENGTH - 1), minlength=n + 1).astype(np.int32)
@@ -502,8 +533,9 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([ids.tobytes()]), pa.array([np.diff(offsets).astype("<i8").tobytes()]), pa.array([data.tobytes()], pa.binary())], names=["block", "ids", "sizes", "text"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, common_blocks: int = COMMON_BLOCKS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs(doc_id, text)``."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
@@ -514,12 +546,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     try:
         blocks = spark.table(name)
         asked = blocks.mapInArrow(_ask(parts), _ASK)
-        told = write_table(asked.groupBy("part").applyInArrow(_tell, _TOLD), "told")
+        told = write_table(asked.groupBy("part").applyInArrow(_tell(common_blocks), _TOLD), "told")
         sent = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_send(parts), _SEND)
         back = sent.groupBy("part").applyInArrow(_sorted, _BACK)
         nothing = lambda kind: F.lit(None).cast(kind)
-        answers = told.select("block", "part", "bits", nothing("binary").alias("counts"), nothing("binary").alias("lengths"), nothing("binary").alias("ids"))
-        answers = answers.unionByName(back.select("block", "part", nothing("binary").alias("bits"), "counts", "lengths", "ids"))
+        answers = told.select("block", "part", "bits", "common", nothing("binary").alias("counts"), nothing("binary").alias("lengths"), nothing("binary").alias("ids"))
+        answers = answers.unionByName(back.select("block", "part", nothing("binary").alias("bits"), nothing("binary").alias("common"), "counts", "lengths", "ids"))
         return write_table(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_mark(parts), _RESULT), "kept")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from outpost.llm import suffix
 
 
@@ -25,18 +26,19 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-def got(spark, rows):
+def got(spark, rows, **how):
     df = spark.createDataFrame([(k, t, 1, "x") for k, t in rows], "doc_id int, text string, block int, bits string").repartition(3)
-    return sorted((tuple(r) for r in suffix.remove_repeats(df).collect()), key=str)
+    return sorted((tuple(r) for r in suffix.remove_repeats(df, **how).collect()), key=str)
 
 
-def test_families(spark):
+@pytest.mark.parametrize("common", [1, 2, 32])
+def test_families(spark, common):
     rng = random.Random(3)
     letters = "abcdefgh é\n"
     pieces = ["".join(rng.choices(letters, k=rng.randrange(20, 140))) for _ in range(12)] + ["ab" * 60, "z" * 200, "De " * 50]
     rows = [(i, "".join(rng.choice(pieces)[rng.randrange(0, 30) :] if rng.random() < 0.8 else "".join(rng.choices(letters, k=9)) for _ in range(rng.randrange(0, 9)))) for i in range(120)]
     rng.shuffle(rows)
-    assert got(spark, rows) == brute(rows)
+    assert got(spark, rows, common_blocks=common) == brute(rows)
 
 
 def test_edges(spark):
