@@ -17,7 +17,7 @@ SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
 #: Bytes of text worked on at once; a longer text is worked on alone.
 CHUNK = 1 << 21
 #: Words of which the ids are kept, twice, before the oldest go.
-KEEP_WORDS = 150_000
+KEEP_WORDS = 300_000
 
 
 def _classes() -> np.ndarray:
