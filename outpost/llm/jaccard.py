@@ -45,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from outpost.llm.components import components
+from outpost.llm.identity import KEYS, identified, row_hash, row_id
 from outpost.llm.pretokens import buffers, chunks
 from outpost.llm.shingles import shingle_sets
 from outpost.llm.store import small_batches, write_table
@@ -61,7 +62,7 @@ BITMAP_BITS = 1024
 BLOCK_ROWS = 60_000
 SEED = 77
 
-_SETS = "doc_id long, n_shingles long, k1 long, k2 long"
+_SETS = "doc_id long, n_shingles long, k1 long, k2 long, hash long"
 
 
 def _keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -81,15 +82,15 @@ def _blocks(b: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.
 
 
 def set_keys(docs: DataFrame) -> DataFrame:
-    """Number of shingles and key of the set of every row."""
+    """Number of shingles and key of the set of every row, and the hash that the row is known by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part, hashes, counts in _blocks(b):
                 keys = _keys(hashes, counts)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(np.ascontiguousarray(keys[:, 0])), pa.array(np.ascontiguousarray(keys[:, 1]))], names=["doc_id", "n_shingles", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts.astype(np.int64)), pa.array(np.ascontiguousarray(keys[:, 0])), pa.array(np.ascontiguousarray(keys[:, 1])), part.column("hash")], names=["doc_id", "n_shingles", "k1", "k2", "hash"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SETS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("hash"), "text").mapInArrow(run, _SETS)
 
 
 # ------------------------------------------------- which classes may have partners
@@ -424,6 +425,11 @@ def linked(p: DataFrame, sets: DataFrame, k: DataFrame, threshold: int, rounds:
 
 def join(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS, boundary: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs(doc_id, text)``."""
+    return _joined_rows(docs, threshold, rounds, boundary).select("doc_id", "n_shingles", "component_id")
+
+
+def _joined_rows(docs: DataFrame, threshold: int, rounds: int = ROUNDS, boundary: int | None = None) -> DataFrame:
+    """What ``join`` gives, with the ``hash`` of each row and the ``label`` of its component, null without words."""
     small_batches(docs.sparkSession)
     rows = write_table(set_keys(docs), "sets")
     full = rows.where("n_shingles > 0")
@@ -442,12 +448,16 @@ def join(docs: DataFrame, threshold: int = THRESHOLD, rounds: int = ROUNDS, boun
     else:
         classes = classes.withColumn("label", F.col("cid"))
     least = classes.groupBy("label").agg(F.min("rep").alias("component_id"))
-    classes = write_table(classes.join(least, "label").select("k1", "k2", "component_id"), "components")
-    found = full.join(classes, ["k1", "k2"]).select("doc_id", "n_shingles", "component_id")
-    return found.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    classes = write_table(classes.join(least, "label").select("k1", "k2", "component_id", "label"), "components")
+    found = full.join(classes, ["k1", "k2"]).select("doc_id", "n_shingles", "component_id", "hash", "label")
+    return found.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "hash", F.lit(None).cast("long").alias("label")))
 
 
 def one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, one of each id; all columns stay."""
-    kept = join(docs.select("doc_id", "text"), threshold).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(write_table(kept, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each component, that with the smallest id, null last, then by the hash of its text; all
+    columns stay. Rows without words all stay, but of rows equal in id and text one does."""
+    rows = _joined_rows(docs.select("doc_id", "text"), threshold)
+    known = F.struct(F.col("doc_id").isNull().alias("last"), row_id().alias("id"), F.col("hash"))
+    alone = F.when(F.col("label").isNull(), known).alias("alone")
+    kept = rows.groupBy("label", alone).agg(F.min(known).alias("first")).select("first.id", "first.hash")
+    return identified(docs, "text").join(write_table(kept, "kept"), KEYS, "left_semi").dropDuplicates(KEYS).select("row.*")

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from outpost.llm.identity import KEYS, identified
 from outpost.llm.store import write_table
 from outpost.llm.words import WORD, word_count
 from outpost.operators.joins import lookup_join
@@ -136,16 +137,17 @@ def cycled_weights(docs: DataFrame, cycle: tuple[float, ...] = (5.0, 2.0, 1.0))
 
 def take(docs: DataFrame, weights: DataFrame, **method: int) -> DataFrame:
     """The mix itself, with the columns of ``docs(doc_id, text, source, …)``: each row as many times as the
-    mix takes it whole, and once more with its first words if it takes a part. A row is known by its id and
-    its text, and rows equal in both are taken alike."""
-    pieces = F.filter(F.split("text", "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"), lambda x: x.rlike(WORD))
-    hashed = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    sizes = hashed.select(F.struct("doc_id", "__hash").alias("doc_id"), "source", word_count(F.col("text")).alias("size")).dropDuplicates(["doc_id"])
-    taken = mix(sizes, weights, **method).where("taken > 0").select("doc_id.doc_id", F.col("doc_id.__hash").alias("__hash"), F.col("size").alias("__size"), F.col("taken").alias("__taken"))
-    rows = hashed.join(write_table(taken, "taken"), ["doc_id", "__hash"])
-    whole, rest = F.expr("__taken div __size"), F.col("__taken") % F.col("__size")
+    mix takes it whole, and once more with its first words if it takes a part. A row is known by its id, text
+    and source, null or not; rows equal in these count once for the mix and are taken alike."""
+    pieces = F.filter(F.split("row.text", "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"), lambda x: x.rlike(WORD))
+    rows = identified(docs, "text", "source")
+    sizes = rows.select(F.struct(*KEYS).alias("doc_id"), "row.source", word_count(F.col("row.text")).alias("size")).dropDuplicates(["doc_id"])
+    taken = mix(sizes, weights, **method).where("taken > 0").select("doc_id.*", "size", "taken")
+    rows = rows.join(write_table(taken, "taken"), KEYS)
+    whole, rest = F.expr("taken div size"), F.col("taken") % F.col("size")
     part = F.when(rest > 0, F.array(F.array_join(F.slice(pieces, F.lit(1), rest.cast("int")), ""))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("text", F.explode(F.concat(F.array_repeat("text", whole.cast("int")), part)))
+    rows = rows.select("row", F.explode(F.concat(F.array_repeat("row.text", whole.cast("int")), part)).alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

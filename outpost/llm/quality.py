@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from outpost.llm.identity import KEYS, identified, row_hash, row_id
 from outpost.llm.store import write_table
 from outpost.llm.words import WORD, word_array
 
@@ -80,7 +81,7 @@ def ngram_buckets(ws: Column, buckets: int = BUCKETS) -> Column:
 def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id`` with the text statistics and ``grams`` of every row of ``docs(doc_id, text)``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", text.alias("text"))
+    d = docs.select("doc_id", row_hash("text").alias("text_hash"), text.alias("text"))
 
     def of_words(ws: Column) -> Column:
         return F.struct(
@@ -93,7 +94,7 @@ def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
     return d.select(
         "doc_id",
-        F.xxhash64("text").alias("text_hash"),
+        "text_hash",
         bound(word_array(F.col("text")), of_words).alias("of_words"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
@@ -132,7 +133,6 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **rules: int) -> DataFrame:
-    """The rows of ``docs`` that are kept; all columns stay. A row is known by its id and its text."""
-    kept = judge(docs, labels, **rules).where("kept").select("doc_id", F.col("text_hash").alias("__hash")).distinct()
-    rows = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return rows.join(write_table(kept, "kept"), ["doc_id", "__hash"], "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that are kept; all columns stay. A row is known by its id and its text, null or not."""
+    kept = judge(docs, labels, **rules).where("kept").select(row_id().alias("id"), F.col("text_hash").alias("hash")).distinct()
+    return identified(docs, "text").join(write_table(kept, "kept"), KEYS, "left_semi").select("row.*")
