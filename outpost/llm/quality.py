@@ -12,7 +12,8 @@ fixed by a parameter, so it may be broadcast.
 
 Defined results. Null and empty texts have no words, all statistics 0, and are judged by the base rules
 alone. Repeated ids are separate rows, each judged. Without target labels, or without documents, the ratio is
-0 everywhere and keeps what the base rules keep. Labels with null ids or values are ignored; labels that
+0 everywhere and keeps what the base rules keep. A target of few n-grams is pulled towards even
+shares by the smoothing, so a handful of labels beside a large corpus rejects nearly all documents. Labels with null ids or values are ignored; labels that
 repeat count once. Other columns of the input are neither read nor kept.
 """
 
