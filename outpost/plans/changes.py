@@ -180,6 +180,38 @@ def b40_two_namespaces(spark, d):
     return nations.join(b.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
 
 
+def b86_set_ops_over_namespaces(spark, d):
+    """Tables of two namespaces and a local frame in one tree of set operations."""
+    from outpost.sources.namespace import attach
+
+    a, b = attach(spark, d, "a"), attach(spark, d, "b")
+    local = spark.createDataFrame([(i,) for i in range(0, 25, 5)], "k int")
+    both = a.table("supplier").select(F.col("s_nationkey").alias("k")).intersect(b.table("customer").select("c_nationkey"))
+    return both.exceptAll(local).union(b.table("b.region").select("r_regionkey"))
+
+
+def b100_changes_from_subquery(spark, d):
+    """A named subquery feeds an insert, an update and a delete, one after another."""
+    o, c = read_table(spark, d, "orders"), read_table(spark, d, "customer")
+    keyed = c.select(F.col("c_custkey").alias("k"), F.round("c_acctbal", 2).alias("v"))
+    spent = o.groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_totalprice").alias("top"))
+    rows = change.insert(keyed, spent.where("top > 400000").select((-F.col("k")).alias("k"), F.col("top").alias("v"))).after
+    rows = change.update(rows, {"v": F.lit(0.0)}, F.col("k") % 2 == 0).after
+    return change.delete(rows, F.col("v") < 0).after
+
+
+def b134_alter_table(spark, d):
+    """A table's columns dropped, renamed and added, published, then the table renamed."""
+    from outpost.sources.namespace import attach
+
+    shop = attach(spark, _scratch(spark), "shop")
+    shop.create("s.nation", read_table(spark, d, "nation"))
+    shop.alter("s.nation", drop=["n_regionkey"], rename={"N_NAME": "name"}, add={"active": F.lit(True), "info": F.struct(F.col("n_nationkey").alias("k"))})
+    shop.alter("shop.s.nation", add={"info.twice": F.col("n_nationkey") * 2})
+    shop.rename("s.nation", "country")
+    return shop.table("s.country").select("n_nationkey", "name", "active", F.col("info.k").alias("k"), F.col("info.twice").alias("twice"))
+
+
 _UPSERT = "from (select n_nationkey as k, n_regionkey as v from nation where n_nationkey < 15) t full join (select n_nationkey as k, n_regionkey * 10 as v from nation where n_nationkey >= 10) s on t.k = s.k"
 _MERGE = f"""select case when t.k is not null and s.k is not null and s.v > 30 then 'DELETE' when t.k is not null and s.k is not null then 'UPDATE'
     when t.k is null and s.v < 40 then 'INSERT' when s.k is null and t.k < 5 then 'UPDATE' end as merge_action, coalesce(t.k, s.k) as k, t.k is not null as old,
@@ -211,6 +243,10 @@ _ALL: dict[Callable[[SparkSession, str], DataFrame], str] = {
     a86_prepared: "select o_orderkey, o_totalprice from orders where (o_totalprice > 400000 and o_orderstatus = 'F') or (o_totalprice > 450000 and o_orderstatus = 'O')",
     a12_generators: "select i, cast(j as integer) as j from (select unnest(range(3, 12, 2)) as i), (select unnest(range(1, 4)) as j)",
     b40_two_namespaces: "select n_name, r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 3 = 0",
+    b86_set_ops_over_namespaces: "select k from ((select s_nationkey as k from supplier intersect select c_nationkey from customer) except all select cast(unnest(range(0, 25, 5)) as integer)) union all select r_regionkey from region",
+    b100_changes_from_subquery: """select k, case when k % 2 = 0 then 0.0 else v end as v from (select c_custkey as k, round(c_acctbal, 2) as v from customer
+        union all select -o_custkey, max(o_totalprice) from orders group by o_custkey having max(o_totalprice) > 400000) where not (case when k % 2 = 0 then 0.0 else v end < 0)""",
+    b134_alter_table: "select n_nationkey, n_name as name, true as active, n_nationkey as k, n_nationkey * 2 as twice from nation",
     s1_ordered_ingest: "select event_id, user_id, value from events",
 }
 

@@ -16,6 +16,11 @@ from outpost.sources import TABLES, read_table
 SQL: dict[str, tuple[str, str | None]] = {
     "b01_full_scan": ("select * from {supplier}", None),
     "b02_filter": ("select l_orderkey, l_linenumber from {lineitem} where l_quantity > 45 and l_discount between 0.05 and 0.07", None),
+    "b63_partitioned_windows": ("select o_orderkey, cast(row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as bigint) as rn, cast(count(*) over (partition by o_custkey) as bigint) as n, lag(o_orderkey) over (partition by o_custkey order by o_orderdate, o_orderkey) as before from {orders}", None),
+    "b70_order_by": ("select o_orderkey, o_orderstatus, o_orderpriority from {orders} order by o_orderstatus desc, length(o_orderpriority), o_orderkey % 10, o_orderkey", None),
+    "b85_set_op_order": ("(select s_nationkey as k from {supplier} union select c_nationkey as k from {customer}) order by k desc", None),
+    "b91_in_or_exists": ("select c_custkey from {customer} where c_nationkey in (select n_nationkey from {nation} where n_regionkey = 2) or exists (select 1 from {orders} where o_custkey = c_custkey and o_totalprice > 450000)", None),
+    "b93_correlated_sum": ("select c_custkey, (select cast(count(*) as bigint) from {orders} where o_custkey = c_custkey and o_totalprice > 20 * c_acctbal) as n from {customer}", None),
     "b03_projection": ("select c_mktsegment as seg, c_custkey as k, c_name as name from {customer}", None),
     "b04_arithmetic": ("select l_orderkey, l_linenumber, l_orderkey % 7 as m, l_extendedprice * (1 - l_discount) / 2 as half from {lineitem}", None),
     "b05_case": ("select o_orderkey, case when o_totalprice < 100000 then 'low' else 'high' end as bucket from {orders}", None),

@@ -8,8 +8,9 @@ takes its place by two renames, so that readers see the old rows or the new."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from outpost.operators.change import Change, Constraints
 
@@ -87,6 +88,20 @@ class Namespace:
         self._publish(self._path(name), change.after, constraints)
         return touched
 
+    def alter(self, name: str, **how) -> None:
+        """ALTER TABLE: see ``altered``."""
+        self._publish(self._path(name), altered(self.table(name), **how))
+
+    def rename(self, name: str, new: str) -> None:
+        """Give a table another name in its schema."""
+        fs, Path = self._fs()
+        old = self._path(name)
+        at = f"{old.rsplit('/', 1)[0]}/{new}.parquet"
+        if fs.exists(Path(at)):
+            raise CatalogError(f'Table with name "{new}" already exists')
+        if not fs.rename(Path(old), Path(at)):
+            raise OSError(f"could not rename {old}")
+
     def drop(self, name: str, if_exists: bool = False) -> None:
         fs, Path = self._fs()
         try:
@@ -112,6 +127,26 @@ class Namespace:
         self.spark.catalog.refreshByPath(at)
 
 
+def altered(rows: DataFrame, add: Mapping[str, Column] | None = None, rename: Mapping[str, str] | None = None, drop: Sequence[str] = ()) -> DataFrame:
+    """``rows`` with columns dropped, renamed, then added with a default; ``struct.field`` adds a nested field.
+    A column that is missing, or there already, is an error. Names compare without case."""
+    known = lambda c: c.casefold() in {x.casefold() for x in rows.columns}
+    for c in (*drop, *(rename or {}), *[a.split(".")[0] for a in add or {} if "." in a]):
+        if not known(c):
+            raise CatalogError(f'Column with name "{c}" does not exist')
+    rows = rows.drop(*drop)
+    for old, new in (rename or {}).items():
+        if known(new) and new.casefold() != old.casefold():
+            raise CatalogError(f'Column with name "{new}" already exists')
+        rows = rows.withColumnRenamed(old, new)
+    for name, value in (add or {}).items():
+        top, _, field = name.partition(".")
+        if not field and known(name):
+            raise CatalogError(f'Column with name "{name}" already exists')
+        rows = rows.withColumn(top, F.col(top).withField(field, value) if field else value)
+    return rows
+
+
 def attach(spark: SparkSession, path: str, alias: str) -> Namespace:
     """Name a folder of tables."""
     return Namespace(spark, path, alias)

@@ -2,7 +2,7 @@ import pytest
 from outpost.operators import change, rows
 from outpost.operators.change import ChangeError, Constraints, When
 from outpost.operators.joins import lookup_join
-from outpost.sources.namespace import CatalogError, attach
+from outpost.sources.namespace import CatalogError, altered, attach
 from outpost.streaming import ingest
 from pyspark.sql import functions as F
 
@@ -141,3 +141,11 @@ def test_stream(spark, tmp_path):
     assert q.exception() is None
     got = ingest.read_batches(spark, f"file://{tmp_path}/out", "id")
     assert sorted(r.id for r in got.collect()) == list(range(100))
+
+
+def test_alter_errors(spark):
+    df = spark.sql("select 1 as a, named_struct('x', 1) as s")
+    assert altered(df, add={"b": F.lit(2), "s.y": F.lit(3)}, rename={"A": "c"}).collect() == [(1, (1, 3), 2)]
+    for wrong in ({"drop": ["z"]}, {"rename": {"z": "y"}}, {"rename": {"a": "S"}}, {"add": {"A": F.lit(1)}}, {"add": {"z.y": F.lit(1)}}):
+        with pytest.raises(CatalogError):
+            altered(df, **wrong)
