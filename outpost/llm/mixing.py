@@ -3,7 +3,8 @@
 Words are handed out in blocks of equal size. Blocks go to sources by the highest quotients
 ``target / (2 j + 1)``, the quota of a source goes to its shards by the highest quotients of their sizes, and
 each shard takes its quota of blocks from its documents, which stand in seeded order. A shard that must give
-more blocks than it has gives whole passes first.
+more blocks than it has gives whole passes first. Of a document taken in part, the words of just its picked
+blocks are taken, wherever in it they are.
 
 DataFrame functions only. The documents are never collected by source: a source is cut into shards of about
 ``shard_words`` words by a seeded hash of the id, so a source with a third of all rows has more shards, not
@@ -82,7 +83,8 @@ def sainte_lague(df: DataFrame, share: str, seats: Column, group: list[str], tie
 def mix(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, passes: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """``docs(doc_id, source, size)`` and ``weights(source, weight)`` to
     ``doc_id, source, size, source_size, target, quota, taken``: the words that the mix takes of each row,
-    at most ``passes`` times its size."""
+    at most ``passes`` times its size. ``start, phase, more, blocks`` tell which words ``picked`` takes once
+    more: the row's place in its shard, and the shard's phase, blocks to take and number of blocks."""
     docs = write_table(docs.select("doc_id", "source", "size"), "sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     sized = lookup_join(sizes, weights.select("source", "weight"), ["source"], "left")
@@ -114,10 +116,16 @@ def mix(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, shard_wor
     m = m.withColumn("__phase", F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.col("__nb")))
     end = F.col("__start") + F.col("size")
     touched = F.sequence(F.floor(F.col("__start") / block), F.floor((end - 1) / block))
-    picked = F.filter(touched, lambda b: F.pmod((b + F.col("__phase")) * F.col("__more"), F.col("__nb")) < F.col("__more"))
-    words = F.aggregate(picked, F.lit(0).cast("long"), lambda acc, b: acc + F.least(end, (b + 1) * block) - F.greatest(F.col("__start"), b * block))
+    chosen = F.filter(touched, lambda b: picked(b, F.col("__phase"), F.col("__more"), F.col("__nb")))
+    words = F.aggregate(chosen, F.lit(0).cast("long"), lambda acc, b: acc + F.least(end, (b + 1) * block) - F.greatest(F.col("__start"), b * block))
     taken = F.when(F.col("size") <= 0, F.lit(0)).otherwise(F.col("__full") * F.col("size") + F.when(F.col("__more") > 0, words).otherwise(0))
-    return m.select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"))
+    how = [F.col(c).alias(name) for c, name in (("__start", "start"), ("__phase", "phase"), ("__more", "more"), ("__nb", "blocks"))]
+    return m.select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), *how)
+
+
+def picked(b: Column, phase: Column, more: Column, blocks: Column) -> Column:
+    """Whether block ``b`` of a shard is one of the ``more`` that are taken once more."""
+    return F.pmod((b + phase) * more, blocks) < more
 
 
 def docs_shards(docs: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
@@ -135,17 +143,22 @@ def cycled_weights(docs: DataFrame, cycle: tuple[float, ...] = (5.0, 2.0, 1.0))
     return docs.select("source").distinct().withColumn("weight", F.element_at(values, (rank % len(cycle) + 1).cast("int")))
 
 
-def take(docs: DataFrame, weights: DataFrame, **method: int) -> DataFrame:
+def take(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, **method: int) -> DataFrame:
     """The mix itself, with the columns of ``docs(doc_id, text, source, …)``: each row as many times as the
-    mix takes it whole, and once more with its first words if it takes a part. A row is known by its id, text
-    and source, null or not; rows equal in these count once for the mix and are taken alike."""
+    mix takes it whole, and once more with the words of its picked blocks if it takes a part. Words keep the
+    white space before them, but for the first of a part that isn't the first of its text. A row is known by
+    its id, text and source, null or not; rows equal in these count once for the mix and are taken alike."""
     pieces = F.filter(F.split("row.text", "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"), lambda x: x.rlike(WORD))
     rows = identified(docs, "text", "source")
     sizes = rows.select(F.struct(*KEYS).alias("doc_id"), "row.source", word_count(F.col("row.text")).alias("size")).dropDuplicates(["doc_id"])
-    taken = mix(sizes, weights, **method).where("taken > 0").select("doc_id.*", "size", "taken")
+    how = ("start", "phase", "more", "blocks")
+    taken = mix(sizes, weights, block=block, **method).where("taken > 0").select("doc_id.*", "size", "taken", *how)
     rows = rows.join(write_table(taken, "taken"), KEYS)
     whole, rest = F.expr("taken div size"), F.col("taken") % F.col("size")
-    part = F.when(rest > 0, F.array(F.array_join(F.slice(pieces, F.lit(1), rest.cast("int")), ""))).otherwise(F.array().cast("array<string>"))
+    at = lambda i: picked(F.floor((F.col("start") + i) / F.lit(block)), *[F.col(c) for c in how[1:]])
+    words = F.array_join(F.filter(pieces, lambda _, i: at(i)), "")
+    words = F.when(at(F.lit(0)), words).otherwise(F.regexp_replace(words, "^[\\x20\\x09-\\x0D]+", ""))
+    part = F.when(rest > 0, F.array(words)).otherwise(F.array().cast("array<string>"))
     rows = rows.select("row", F.explode(F.concat(F.array_repeat("row.text", whole.cast("int")), part)).alias("text"))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:

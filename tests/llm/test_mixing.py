@@ -91,3 +91,23 @@ def test_take(spark):
     for r in out.collect():
         assert texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
     assert mixing.take(df.limit(0), mixing.cycled_weights(df)).collect() == []
+
+
+def test_take_emits_the_picked_blocks(spark):
+    texts = {k: f"\n w{k}_0" + "".join(f"  w{k}_{i}" for i in range(1, 6400)) for k in range(6)}
+    df = spark.createDataFrame([(k, t, "x" if k < 2 else "y") for k, t in texts.items()], "doc_id int, text string, source string")
+    weights = mixing.cycled_weights(df)
+    out = mixing.take(df, weights).collect()
+    places = {r.doc_id: [int(w.split("_")[1]) for w in r.text.split()] for r in out if r.text != texts[r.doc_id]}
+    assert set(places) == set(texts), "x is taken 2.14 times, y 0.43 times"
+    for k, at in places.items():
+        assert all(w.startswith(f"w{k}_") for r in out if r.doc_id == k for w in r.text.split())
+        assert at == sorted(set(at)) and at[0] < 640 and at[-1] >= 5760, "heads as well as tails"
+        halves = Counter(i // 3200 for i in at)
+        assert abs(halves[0] - halves[1]) <= 192
+        assert set(Counter(i // 64 for i in at).values()) == {64}, "whole blocks, as all sizes are multiples of 64"
+    words = Counter()
+    for r in out:
+        words["x" if r.doc_id < 2 else "y"] += len(r.text.split())
+    taken = mixing.mix(df.select("doc_id", "source", F.lit(6400).cast("long").alias("size")), weights).groupBy("source").agg(F.sum("taken")).collect()
+    assert words == dict(taken)
