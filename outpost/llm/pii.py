@@ -52,8 +52,7 @@ _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}")
 _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,33}(?![0-9])")
 _ACCOUNT_GAP = re.compile(r"(?:\s|number|no\.?|nr\.?|#|:|=|-){0,8}")
 _SECRET_GAP = re.compile(r"\s{0,4}[:=]\s{0,4}[\"']?")
-#: A value of over 512 characters is taken for data, of which the first 512 are a span.
-_SECRET = re.compile(r"[A-Za-z0-9+/_=.-]{12,512}+")
+_SECRET = re.compile(r"[A-Za-z0-9+/_=.-]{12,}+")
 
 
 @lru_cache(maxsize=1)
@@ -156,8 +155,11 @@ def _accounts(text: str, at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]
 
 
 def _secrets(text: str, at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    free = 0
     for p, after in at:
-        if not _word_before(text, p) and (gap := _SECRET_GAP.match(text, after)) and (m := _SECRET.match(text, gap.end())):
+        # a value that starts within the last run ends with it, so that no run is read twice
+        if not _word_before(text, p) and (gap := _SECRET_GAP.match(text, after)) and gap.end() >= free and (m := _SECRET.match(text, gap.end())):
+            free = m.end()
             if any(c.isdigit() for c in m[0]):
                 yield m.span()
 

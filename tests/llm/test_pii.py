@@ -64,3 +64,15 @@ def test_dataframe(spark):
     assert got == {(1, 1, hashlib.sha256(b"email:0:6").hexdigest(), "email:0:6"), (2, 0, empty, ""), (3, 0, empty, "")}
     assert [(r.text, r.spans) for r in pii.redact(df).collect()] == [("<email>", "x"), ("<email>", "y"), (None, None), ("", "z")]
     assert pii.find(df.limit(0)).collect() == []
+
+
+def test_long_secrets():
+    value = "eyJhbGciOi9." * 200
+    text = f"token={value} end"
+    assert pii.spans(text) == [("secret", 6, 6 + len(value))]
+    assert pii._masked(text, pii.spans(text)) == "token=<secret> end"
+    # a cue at the end of a run has its value behind the run
+    text = "secret=not-a-number-token: abcdef123456"
+    assert [text[s:e] for _, s, e in pii.spans(text)] == ["abcdef123456"]
+    for piece in ("token=", "token=-", "token=a", "-token=1", "token='"):
+        pii.spans(piece * 300_000)
