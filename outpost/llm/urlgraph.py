@@ -8,7 +8,8 @@ Host edges are counted before they are spread: pages of one host that link to th
 with a weight, summed in part before the shuffle, so a host with a third of all pages or links is a few rows.
 Each round is one join on the source and one sum on the target, also in part first; skewed sources are split
 by adaptive execution, and the scores are written to the shared folder from time to time to cut the lineage.
-Only the numbers of seeds reach the driver.
+Each seed starts with the score 1, and rounds go on until the scores change by no more than a tolerance. Only
+sums of the scores reach the driver.
 
 Defined results. A null url, or one without ``://``, has an empty host and path, fits no rule, and is judged
 as the host ``''``. A null html has no links. Links without a host are links within the page's host and
@@ -34,8 +35,11 @@ RULES = (
     ("block", "net/fr/"),
 )
 DAMPING = 0.85
+#: Rounds before the change of the scores is first measured.
 ROUNDS = 8
-#: A host is blocked if its distrust is above RATIO times its trust, and above FLOOR over the number of seeds.
+#: Scores are spread until their summed change, between two writes, is not above this.
+TOLERANCE = 1e-6
+#: A host is blocked if its distrust is above RATIO times its trust, and above FLOOR.
 RATIO = 1.0
 FLOOR = 0.05
 #: Rounds between two writes of the scores.
@@ -74,38 +78,50 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where((F.col("dst") != "") & (F.col("dst") != F.col("src"))).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """Personalised PageRank ``host, score`` over ``edges(src, dst, w)`` from ``seeds(host, seed)``, whose
-    values sum to 1. The score that hosts without links would pass on stays with no one, so that scores
-    don't grow with the size of the graph."""
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Personalised PageRank ``host, score`` over ``edges(src, dst, w)`` from ``seeds(host, seed)``. The score
+    that hosts without links would pass on stays with no one, so that scores don't grow with the size of the
+    graph.
+
+    Rounds start from the seeds' own part, so scores only rise, and their summed change is the change of
+    their sum. It shrinks by ``damping`` a round: what is still missing when it is within ``tolerance`` is at
+    most ``d / (1 - d)`` of that, ``d`` being the damping of ``WRITE_EVERY`` rounds (1.1 times ``tolerance``)."""
     out = edges.groupBy("src").agg(F.sum("w").alias("all"))
     shares = write_table(edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("all")).alias("share")), "shares")
     base = seeds.select("host", ((1 - damping) * F.col("seed")).alias("score"))
-    scores = seeds.select("host", F.col("seed").alias("score"))
     if shares.isEmpty():
         return base
-    for k in range(1, rounds + 1):
+    scores, k, last = base, 0, None
+    while True:
+        k += 1
         moved = scores.join(shares, scores["host"] == shares["src"]).select(F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
         # sums of rounded parts, so that they don't depend on the order of rows
-        scores = moved.unionByName(base).groupBy("host").agg((F.sum(F.round(F.col("score") * 1e15).cast("decimal(38,0)")) / F.lit(1e15)).cast("double").alias("score"))
-        if k % WRITE_EVERY == 0 or k == rounds:
+        scores = moved.unionByName(base).groupBy("host").agg((_rounded("score") / F.lit(1e15)).cast("double").alias("score"))
+        if k % WRITE_EVERY == 0:
             scores = write_table(scores, "scores")
-    return scores
+            if k >= rounds:
+                total = scores.agg(_rounded("score").alias("all")).first()["all"] or 0
+                if last is not None and abs(total - last) <= tolerance * 1e15:
+                    return scores
+                last = total
+
+
+def _rounded(score: str) -> Column:
+    return F.sum(F.round(F.col(score) * 1e15).cast("decimal(38,0)"))
 
 
-def host_verdicts(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, ratio: float = RATIO, floor: float = FLOOR) -> DataFrame:
+def host_verdicts(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, ratio: float = RATIO, floor: float = FLOOR, tolerance: float = TOLERANCE) -> DataFrame:
     """``host, trust, distrust, blocked`` for every host that holds a score. pages: ``host, html, verdict``,
     the verdict of a rule or null. A host is a seed by the verdict that most of its judged pages have."""
     edges = write_table(host_edges(pages), "edges")
     votes = pages.groupBy("host").agg(F.sum(F.when(F.col("verdict") == "allow", 1).when(F.col("verdict") == "block", -1).otherwise(0)).alias("vote"))
     votes = write_table(votes.where("vote <> 0"), "votes")
-    n = votes.agg(F.sum((F.col("vote") > 0).cast("long")).alias("good"), F.sum((F.col("vote") < 0).cast("long")).alias("bad")).first()
-    good, bad = max(1, n["good"] or 0), max(1, n["bad"] or 0)
-    trust = spread(edges, votes.where("vote > 0").select("host", F.lit(1.0 / good).alias("seed")), damping, rounds)
+    one = F.lit(1.0).alias("seed")
+    trust = spread(edges, votes.where("vote > 0").select("host", one), damping, rounds, tolerance)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
-    distrust = spread(back, votes.where("vote < 0").select("host", F.lit(1.0 / bad).alias("seed")), damping, rounds)
+    distrust = spread(back, votes.where("vote < 0").select("host", one), damping, rounds, tolerance)
     both = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full")
-    both = both.select("host", F.coalesce(F.col("trust") * good, F.lit(0.0)).alias("trust"), F.coalesce(F.col("distrust") * bad, F.lit(0.0)).alias("distrust"))
+    both = both.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
     return both.withColumn("blocked", (F.col("distrust") > ratio * F.col("trust")) & (F.col("distrust") > floor))
 
 

@@ -1,6 +1,8 @@
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from outpost.llm import urlgraph
 from pyspark.sql import functions as F
@@ -84,3 +86,42 @@ def test_empty(spark):
     df = spark.createDataFrame([], "page_id int, url string, html string")
     assert urlgraph.judge(df).collect() == []
     assert urlgraph.judge(spark.createDataFrame([(1, None, None)], df.schema)).first().verdict == "allow"
+
+
+def linked(spark, links, schema="page_id int, url string, html string"):
+    """One page a host, ``links`` from host to hosts."""
+    hosts = sorted({*links, *(d for to in links.values() for d in to)})
+    page = lambda h: f"http://{h}/es/" if h.endswith(".net") else f"http://{h}/"
+    rows = [(k, page(h), "".join(f'<a href="{page(d)}">' for d in links.get(h, []))) for k, h in enumerate(hosts)]
+    return {r.host: r for r in urlgraph.judge(spark.createDataFrame(rows, schema)).collect()}
+
+
+def converged(links, seeds, back=False):
+    """The fixed point, by a dense solution."""
+    hosts = sorted({*links, *(d for to in links.values() for d in to)})
+    at, m = {h: i for i, h in enumerate(hosts)}, np.zeros((len(hosts), len(hosts)))
+    for s, to in links.items():
+        for d in to:
+            m[(at[s], at[d]) if back else (at[d], at[s])] += 1
+    m = m / np.maximum(m.sum(axis=0), 1)
+    score = np.linalg.solve(np.eye(len(hosts)) - 0.85 * m, 0.15 * np.array([float(h in seeds) for h in hosts]))
+    return dict(zip(hosts, score, strict=True))
+
+
+def test_long_paths_converge(spark):
+    links = {f"h{k:02}.org": [f"h{k - 1:02}.org"] for k in range(2, 13)} | {"h01.org": ["bad.net"]}
+    got = linked(spark, links)
+    assert [got[f"h{k:02}.org"].verdict for k in range(1, 13)] == ["block"] * 6 + ["allow"] * 6
+    for h, want in converged(links, {"bad.net"}, back=True).items():
+        assert got[h].distrust == pytest.approx(want, abs=2e-6)
+
+
+def test_cycles_converge(spark):
+    rng = random.Random(3)
+    hosts = [*(f"c{k}.com" for k in range(3)), *(f"b{k}.net" for k in range(3)), *(f"o{k}.org" for k in range(20))]
+    links = {h: [d for d in rng.sample(hosts, 3) if d != h] for h in hosts}
+    got = linked(spark, links)
+    trust = converged(links, {h for h in hosts if h.endswith(".com")})
+    distrust = converged(links, {h for h in hosts if h.endswith(".net")}, back=True)
+    for h in hosts:
+        assert (got[h].trust, got[h].distrust) == pytest.approx((trust[h], distrust[h]), abs=2e-6)
