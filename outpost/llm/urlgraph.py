@@ -2,7 +2,9 @@
 
 Rules (host and path prefix) judge the urls they fit. For the others, trust spreads from trusted seed hosts
 along links (personalised PageRank) and distrust spreads from blocked seed hosts against them, from a link's
-target to its page. A host is blocked if its distrust is above ``ratio`` times its trust and above a floor.
+target to its page. A host is blocked if its distrust is above ``ratio`` times its trust, and if its distrust or
+its exposure is above a floor. Distrust is shared among all hosts that link to a host, so it shrinks as they
+grow in number; exposure is what of a walk from the host along its own links ends at blocked seeds, and doesn't.
 
 Host edges are counted before they are spread: pages of one host that link to the same host make one edge
 with a weight, summed in part before the shuffle, so a host with a third of all pages or links is a few rows.
@@ -39,7 +41,7 @@ DAMPING = 0.85
 ROUNDS = 8
 #: Scores are spread until their summed change, between two writes, is not above this.
 TOLERANCE = 1e-6
-#: A host is blocked if its distrust is above RATIO times its trust, and above FLOOR.
+#: A host is blocked if its distrust is above RATIO times its trust, and if that or its exposure is above FLOOR.
 RATIO = 1.0
 FLOOR = 0.05
 #: Rounds between two writes of the scores.
@@ -78,16 +80,19 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where((F.col("dst") != "") & (F.col("dst") != F.col("src"))).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE, by: str = "src") -> DataFrame:
     """Personalised PageRank ``host, score`` over ``edges(src, dst, w)`` from ``seeds(host, seed)``. The score
     that hosts without links would pass on stays with no one, so that scores don't grow with the size of the
     graph.
 
+    With ``by="dst"`` an edge carries its share of what its ``dst`` receives, so that a host gets the mean of
+    the scores at its edges and not parts of them; the bound below then holds for each host.
+
     Rounds start from the seeds' own part, so scores only rise, and their summed change is the change of
     their sum. It shrinks by ``damping`` a round: what is still missing when it is within ``tolerance`` is at
     most ``d / (1 - d)`` of that, ``d`` being the damping of ``WRITE_EVERY`` rounds (1.1 times ``tolerance``)."""
-    out = edges.groupBy("src").agg(F.sum("w").alias("all"))
-    shares = write_table(edges.join(out, "src").select("src", "dst", (F.col("w") / F.col("all")).alias("share")), "shares")
+    every = edges.groupBy(by).agg(F.sum("w").alias("all"))
+    shares = write_table(edges.join(every, by).select("src", "dst", (F.col("w") / F.col("all")).alias("share")), "shares")
     base = seeds.select("host", ((1 - damping) * F.col("seed")).alias("score"))
     if shares.isEmpty():
         return base
@@ -111,7 +116,7 @@ def _rounded(score: str) -> Column:
 
 
 def host_verdicts(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, ratio: float = RATIO, floor: float = FLOOR, tolerance: float = TOLERANCE) -> DataFrame:
-    """``host, trust, distrust, blocked`` for every host that holds a score. pages: ``host, html, verdict``,
+    """``host, trust, distrust, exposure, blocked`` for every host that holds a score. pages: ``host, html, verdict``,
     the verdict of a rule or null. A host is a seed by the verdict that most of its judged pages have."""
     edges = write_table(host_edges(pages), "edges")
     votes = pages.groupBy("host").agg(F.sum(F.when(F.col("verdict") == "allow", 1).when(F.col("verdict") == "block", -1).otherwise(0)).alias("vote"))
@@ -120,9 +125,11 @@ def host_verdicts(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUN
     trust = spread(edges, votes.where("vote > 0").select("host", one), damping, rounds, tolerance)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")
     distrust = spread(back, votes.where("vote < 0").select("host", one), damping, rounds, tolerance)
+    exposure = spread(back, votes.where("vote < 0").select("host", one), damping, rounds, tolerance, by="dst")
     both = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full")
-    both = both.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
-    return both.withColumn("blocked", (F.col("distrust") > ratio * F.col("trust")) & (F.col("distrust") > floor))
+    both = both.join(exposure.withColumnRenamed("score", "exposure"), "host", "left")
+    both = both.select("host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"), F.coalesce("exposure", F.lit(0.0)).alias("exposure"))
+    return both.withColumn("blocked", (F.col("distrust") > ratio * F.col("trust")) & (F.greatest("distrust", "exposure") > floor))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, **method: float) -> DataFrame:

@@ -125,3 +125,13 @@ def test_cycles_converge(spark):
     distrust = converged(links, {h for h in hosts if h.endswith(".net")}, back=True)
     for h in hosts:
         assert (got[h].trust, got[h].distrust) == pytest.approx((trust[h], distrust[h]), abs=2e-6)
+
+
+def test_link_farm(spark):
+    """Many hosts around one blocked seed, hosts behind them, and bystanders that link to it among others."""
+    farm = [f"f{k:02}.org" for k in range(40)]
+    links = {f: ["bad.net"] for f in farm} | {f"g{k}.org": farm[:5] for k in range(10)}
+    links |= {"wide.org": ["bad.net", *(f"n{k}.org" for k in range(9))], "good.com": ["known.org"], "known.org": ["bad.net", "n1.org", "n2.org"]}
+    got = linked(spark, links)
+    assert {got[f].verdict for f in farm} == {"block"} and {got[f"g{k}.org"].verdict for k in range(10)} == {"block"}
+    assert [got[h].verdict for h in ("wide.org", "known.org", "n1.org", "good.com", "bad.net")] == ["allow"] * 4 + ["block"]
