@@ -4,7 +4,8 @@ Both derivatives refer to the response by its record id, carry its target URI, d
 (payload type and digest) and have digests of their own. Ids are UUIDs made from the response's URI and
 bytes, so a rerun makes the same records.
 
-Column expressions only: one pass over the pages, no shuffle, memory of one page.
+One pass over the pages, no shuffle; column expressions, but for references, which an Arrow function resolves
+in small batches.
 
 Defined results. A null html is an empty payload, a null url an empty URI. Repeated rows give repeated
 records. Pages with the same URI and bytes get the same ids, as they are the same response. Markup that never
@@ -14,8 +15,14 @@ kept.
 
 from __future__ import annotations
 
+import html as markup
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from outpost.llm.store import small_batches
+
 CAPTURED = "2024-01-01T00:00:00Z"
 
 #: Markup removals (pattern, replacement) in the order they are applied.
@@ -25,19 +32,31 @@ MARKUP = [
     ("(?i)<(br|/p|/div|/li|/h[1-6]|/tr|/title|/article|/section|/ul|/ol|/table)\\b[^>]*>", "\n"),
     ("<[^<>]*>", ""),
 ]
-#: Character references, the ampersand last.
+#: The character references that the oracle's SQL resolves, the ampersand last.
 REFERENCES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 #: White space tidying.
 TIDY = [("[ \\t\\r\\f]+", " "), (" ?\\n[ \\n]*", "\n"), ("^[ \\n]+|[ \\n]+$", "")]
 
 
+#: A character reference as HTML reads it in text, named or numeric; some may lack the semicolon.
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)")
+
+
+def resolved(text: str) -> str:
+    """``text`` with all references of HTML resolved, once. No-break spaces given by reference become spaces."""
+    return _REFERENCE.sub(lambda m: markup.unescape(m[0]).replace("\xa0", " "), text) if "&" in text else text
+
+
+def _resolved(text: pa.Array) -> pa.Array:
+    return pa.array([t if t is None else resolved(t) for t in text.to_pylist()], pa.string())
+
+
 def plain_text(html: Column) -> Column:
     """Visible text of a page: blocks on lines of their own, references resolved, white space folded."""
     out = html
     for pattern, by in MARKUP:
         out = F.regexp_replace(out, F.lit(pattern), F.lit(by))
-    for name, char in REFERENCES:
-        out = F.replace(out, F.lit(name), F.lit(char))
+    out = F.arrow_udf(_resolved, "string")(out)
     for pattern, by in TIDY:
         out = F.regexp_replace(out, F.lit(pattern), F.lit(by))
     return out
@@ -65,6 +84,7 @@ def record(kind: str, header: list[tuple[str, Column]], block: Column) -> Column
 def derive(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
     """``pages(page_id, url, html)`` to two rows each: ``page_id, kind, record_id, refers_to, target_uri,
     source_type, source_digest, block_digest, n_bytes, block, record``."""
+    small_batches(pages.sparkSession)
     url, html = F.coalesce(F.col("url"), F.lit("")), F.coalesce(F.col("html"), F.lit(""))
     p = pages.select("page_id", url.alias("url"), html.alias("html"))
     p = p.withColumns({"source_digest": digest(F.col("html")), "text": plain_text(F.col("html"))})
@@ -108,7 +128,7 @@ def _sql_text(s: str) -> str:
 
 
 def oracle(captured: str = CAPTURED) -> str:
-    """The same as SQL for the oracle."""
+    """The same as SQL for the oracle, which resolves ``REFERENCES`` only."""
     text = "html"
     for pattern, by in MARKUP:
         flags, pattern = ("gis", pattern[5:]) if pattern.startswith("(?is)") else ("gi", pattern[4:]) if pattern.startswith("(?i)") else ("g", pattern)

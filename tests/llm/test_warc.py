@@ -1,4 +1,7 @@
 import hashlib
+import html
+import html.entities
+import re
 
 from outpost.llm import warc
 from pyspark.sql import functions as F
@@ -30,3 +33,14 @@ def test_edges(spark):
     assert {r.block for r in out if r.page_id < 3 and r.kind == "conversion"} == {""}
     assert len({r.record_id for r in out if r.page_id == 2}) == 2
     assert warc.derive(df.limit(0)).collect() == []
+
+
+def test_all_references_are_resolved(spark):
+    named = " ".join(f"&{n}" for n in sorted(html.entities.html5) if n.endswith(";"))
+    texts = ["a &copy; b &middot; c&mdash;d &eacute;", "&#8217;&#x27;&#X2014; &#128; &#0; &#xD800;", "&amp;lt; &amp;amp;copy; &amp;#39;", "&copy 1 &notit; &nosuch; & &; &#; AT&T", named]
+    df = spark.createDataFrame([(k, "u", f"<p>{t}</p>") for k, t in enumerate(texts)], "page_id int, url string, html string")
+    got = {r.page_id: r.block for r in warc.derive(df).collect() if r.kind == "conversion"}
+    fold = lambda t: re.sub(" ?\n[ \n]*", "\n", re.sub("[ \t\r\f]+", " ", t.replace("\xa0", " "))).strip(" \n")
+    for k, t in enumerate(texts):
+        assert got[k] == fold(html.unescape(t))
+    assert got[2] == "&lt; &amp;copy; &#39;"
