@@ -7,8 +7,8 @@ digit counts).
 
 Kinds, in the order they are listed: ``email, ip, card, phone`` (the base kinds), then the method's own
 ``url`` (a URL with user info), ``account`` (an IBAN with a right checksum, or the number after an account
-cue), ``secret`` (the value after a token, key or password cue). Own spans that overlap a base span, or one
-another, are dropped in favour of the earlier kind, then the earlier start.
+cue), ``secret`` (the value after a token, key or password cue). Spans may overlap; an own span that lies wholly
+inside another span is dropped, of equal ones the later kind.
 
 Every text is scanned whole, in time linear in its length. Tasks hold one Arrow batch; no shuffle.
 
@@ -177,17 +177,13 @@ def spans(text: str | None) -> list[tuple[str, int, int]]:
     }
     out = [(k, s, e) for k in BASE for s, e in base[k]]
     own = {"url": _urls, "account": _accounts, "secret": _secrets}
-    covered = bytearray()
-    for kind, parse in own.items():
-        for s, e in sorted(parse(text, at[kind])):
-            if not covered:
-                covered = bytearray(len(text))
-                for _, x, y in out:
-                    covered[x:y] = b"\1" * (y - x)
-            if not any(covered[s:e]):
-                covered[s:e] = b"\1" * (e - s)
-                out.append((kind, s, e))
-    return out
+    out += [(kind, s, e) for kind, parse in own.items() for s, e in sorted(parse(text, at[kind]))]
+    inside, reach = set(), 0
+    for kind, s, e in sorted(out, key=lambda x: (x[1], -x[2], KINDS.index(x[0]))):
+        if e <= reach and kind not in BASE:
+            inside.add((kind, s, e))
+        reach = max(reach, e)
+    return [x for x in out if x not in inside]
 
 
 def joined(found: list[tuple[str, int, int]]) -> str:
@@ -198,7 +194,7 @@ def _masked(text: str | None, found: list[tuple[str, int, int]]) -> str | None:
     if not found:
         return text
     merged: list[list] = []
-    for k, s, e in sorted(found, key=lambda x: (x[1], x[2])):
+    for k, s, e in sorted(found, key=lambda x: (x[1], -x[2])):
         if merged and s < merged[-1][2]:
             merged[-1][2] = max(merged[-1][2], e)
         else:

@@ -76,3 +76,22 @@ def test_long_secrets():
     assert [text[s:e] for _, s, e in pii.spans(text)] == ["abcdef123456"]
     for piece in ("token=", "token=-", "token=a", "-token=1", "token='"):
         pii.spans(piece * 300_000)
+
+
+def test_own_spans_beside_base_spans():
+    for text, want in {
+        "see https://alice:a!b2@db.example.com now": "see <url> now",
+        "ftp://me:pw@host.org/x": "<url>",
+        "token=abcdefgh+12345678/ijklmnop.": "token=<secret>",
+        "token=1.2.3.4/abcdefgh5": "token=<secret>",
+        "https://u:p@h.example.com:80 me@h.example.com": "<url> <email>",
+        "password: me@mail1.example.com": "password: <email>",
+    }.items():
+        found = pii.spans(text)
+        assert pii._masked(text, found) == want
+        assert [s for s in found if s[0] in pii.BASE] == brute(text)
+    # parts that stand out of a base span on either side are kept
+    text = "token=abcdefgh1234.x@mail1.example.com"
+    assert pii.spans(text) == [("email", 6, len(text))]
+    text = "token=a/bcdefgh1234.x@mail1.example.com"
+    assert pii.spans(text) == [("email", 8, len(text)), ("secret", 6, 21)] and pii._masked(text, pii.spans(text)) == "token=<secret>"
