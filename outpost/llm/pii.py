@@ -51,7 +51,7 @@ _USER_URL = re.compile(r"[^\s/?#@\x00-\x1f]++@[A-Za-z0-9.-]++(?::[0-9]{1,5})?(?:
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}")
 _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,33}(?![0-9])")
 _ACCOUNT_GAP = re.compile(r"(?:\s|number|no\.?|nr\.?|#|:|=|-){0,8}")
-_SECRET_GAP = re.compile(r"\s{0,4}[:=]\s{0,4}[\"']?")
+_SECRET_GAP = re.compile(r"[\"']?\s{0,4}[:=]\s{0,4}[\"']?")
 _SECRET = re.compile(r"[A-Za-z0-9+/_=.-]{12,}+")
 
 
@@ -154,11 +154,16 @@ def _accounts(text: str, at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]
             yield m.span()
 
 
+def _letter_before(text: str, p: int) -> bool:
+    """As ``_word_before``, for cues that may end a longer name: ``DB_PASSWORD``, ``access_token``."""
+    return p > 0 and text[p - 1].isalnum()
+
+
 def _secrets(text: str, at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     free = 0
     for p, after in at:
         # a value that starts within the last run ends with it, so that no run is read twice
-        if not _word_before(text, p) and (gap := _SECRET_GAP.match(text, after)) and gap.end() >= free and (m := _SECRET.match(text, gap.end())):
+        if not _letter_before(text, p) and (gap := _SECRET_GAP.match(text, after)) and gap.end() >= free and (m := _SECRET.match(text, gap.end())):
             free = m.end()
             if any(c.isdigit() for c in m[0]):
                 yield m.span()

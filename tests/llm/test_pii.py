@@ -95,3 +95,13 @@ def test_own_spans_beside_base_spans():
     assert pii.spans(text) == [("email", 6, len(text))]
     text = "token=a/bcdefgh1234.x@mail1.example.com"
     assert pii.spans(text) == [("email", 8, len(text)), ("secret", 6, 21)] and pii._masked(text, pii.spans(text)) == "token=<secret>"
+
+
+def test_secrets_in_settings():
+    value = "ghp_A1b2C3d4E5f6"
+    for cue in ("GITHUB_TOKEN=", "export DB_PASSWORD='", "AWS_SECRET_ACCESS_KEY=", "access_token=", "client_secret: ", "x-api-key: ", '{"api_key": "', "{'password' : '", '"access_token":"'):
+        text = f"a {cue}{value} b"
+        assert pii.spans(text) == [("secret", 2 + len(cue), 2 + len(cue) + len(value))], cue
+    assert pii.spans("mytoken=ghp_A1b2C3d4E5f6 tokens=ghp_A1b2C3d4E5f6 token: none") == []
+    for piece in ("_token=", '"token" : "', "_token=1", '_token"'):
+        pii.spans(piece * 300_000)
