@@ -2,7 +2,7 @@
 
 Both derivatives refer to the response by its record id, carry its target URI, date and source headers
 (payload type and digest) and have digests of their own. Ids are UUIDs made from the response's URI and
-bytes, so a rerun makes the same records.
+bytes (and its record id, if it has one), so a rerun makes the same records.
 
 One pass over the pages, no shuffle; column expressions, but for references, which an Arrow function resolves
 in small batches.
@@ -19,11 +19,14 @@ import html as markup
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from outpost.llm.store import small_batches
 
 CAPTURED = "2024-01-01T00:00:00Z"
+STATUS, TYPE = "200", "text/html"
+#: Columns of the pages that hold the response's own headers: its record id, date, status, content type, digest.
+OWN = ("response_id", "captured", "status", "content_type", "payload_digest")
 
 #: Markup removals (pattern, replacement) in the order they are applied.
 MARKUP = [
@@ -81,21 +84,35 @@ def record(kind: str, header: list[tuple[str, Column]], block: Column) -> Column
     return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), block, F.lit("\r\n\r\n"))
 
 
+def _own(pages: DataFrame, name: str) -> Column:
+    """A column of ``OWN`` as text; null if the pages lack it."""
+    if name not in pages.columns:
+        return F.lit(None).cast("string")
+    kind, value = pages.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.TimestampType):
+        value, kind = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz")), T.TimestampNTZType()
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        value = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return value.cast("string")
+
+
 def derive(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
     """``pages(page_id, url, html)`` to two rows each: ``page_id, kind, record_id, refers_to, target_uri,
-    source_type, source_digest, block_digest, n_bytes, block, record``."""
+    source_type, source_digest, block_digest, n_bytes, block, record``. Columns of ``OWN`` are kept where the
+    pages have them; a column or value that is missing is made from the page (id, digest) or constant."""
     small_batches(pages.sparkSession)
     url, html = F.coalesce(F.col("url"), F.lit("")), F.coalesce(F.col("html"), F.lit(""))
-    p = pages.select("page_id", url.alias("url"), html.alias("html"))
-    p = p.withColumns({"source_digest": digest(F.col("html")), "text": plain_text(F.col("html"))})
-    p = p.withColumn("response", record_id(F.lit("response"), F.col("url"), F.col("source_digest")))
-    source_type = F.lit("text/html")
+    p = pages.select("page_id", url.alias("url"), html.alias("html"), *[_own(pages, name).alias(name) for name in OWN])
+    p = p.withColumns({"source_digest": F.coalesce("payload_digest", digest(F.col("html"))), "text": plain_text(F.col("html"))})
+    p = p.withColumn("response", F.coalesce("response_id", record_id(F.lit("response"), F.col("url"), F.col("source_digest"))))
+    p = p.withColumns({"status": F.coalesce("status", F.lit(STATUS)), "source_type": F.coalesce("content_type", F.lit(TYPE)), "date": F.coalesce("captured", F.lit(captured))})
+    source_type = F.col("source_type")
     title = F.regexp_replace(F.regexp_extract("html", "(?is)<title[^>]*>([^<]*)</title", 1), "[\\r\\n]+", " ")
     n_links = F.regexp_count(F.col("html"), F.lit("(?i)<a\\s[^>]*href")).cast("string")
     language = F.regexp_extract("html", "(?i)<html[^>]*\\slang=\"([A-Za-z-]*)\"", 1)
     fields = F.concat_ws(
         "\r\n",
-        F.lit("source-status: 200"),
+        F.concat(F.lit("source-status: "), F.col("status")),
         F.concat(F.lit("source-type: "), source_type),
         F.concat(F.lit("source-length: "), F.octet_length("html").cast("string")),
         F.concat(F.lit("source-digest: "), F.col("source_digest")),
@@ -108,17 +125,18 @@ def derive(pages: DataFrame, captured: str = CAPTURED) -> DataFrame:
         F.struct(F.lit("metadata").alias("kind"), F.lit("application/warc-fields").alias("type"), fields.alias("block")),
         F.struct(F.lit("conversion").alias("kind"), F.lit("text/plain").alias("type"), F.col("text").alias("block")),
     )
-    d = p.withColumn("each", F.explode(kinds)).select("page_id", "url", "response", "source_digest", "each.*")
-    d = d.withColumn("id", record_id("kind", "url", "source_digest"))
+    d = p.withColumn("each", F.explode(kinds)).select("page_id", "url", "response", "source_digest", "source_type", "date", "response_id", "each.*")
+    # a response with an id of its own is told from others of the same bytes
+    d = d.withColumn("id", record_id("kind", "url", "source_digest", "response_id"))
     header = [
         ("WARC-Record-ID", F.col("id")), ("WARC-Refers-To", F.col("response")), ("WARC-Refers-To-Target-URI", F.col("url")),
-        ("WARC-Target-URI", F.col("url")), ("WARC-Date", F.lit(captured)), ("X-Source-Content-Type", source_type),
+        ("WARC-Target-URI", F.col("url")), ("WARC-Date", F.col("date")), ("X-Source-Content-Type", source_type),
         ("X-Source-Payload-Digest", F.col("source_digest")), ("Content-Type", F.col("type")),
     ]
     whole = F.when(F.col("kind") == "metadata", record("metadata", header, F.col("block"))).otherwise(record("conversion", header, F.col("block")))
     return d.select(
         "page_id", "kind", F.col("id").alias("record_id"), F.col("response").alias("refers_to"), F.col("url").alias("target_uri"),
-        source_type.alias("source_type"), "source_digest", digest(F.col("block")).alias("block_digest"),
+        "source_type", "source_digest", digest(F.col("block")).alias("block_digest"),
         F.octet_length("block").cast("long").alias("n_bytes"), "block", whole.alias("record"),
     )
 

@@ -44,3 +44,26 @@ def test_all_references_are_resolved(spark):
     for k, t in enumerate(texts):
         assert got[k] == fold(html.unescape(t))
     assert got[2] == "&lt; &amp;copy; &#39;"
+
+
+def test_source_headers_are_kept(spark):
+    rows = [(1, "u", "<p>x</p>", "<urn:uuid:1>", "2023-05-06 07:08:09", 404, "application/xhtml+xml", "sha1:ABC"), (2, "u", "<p>x</p>", "<urn:uuid:2>", None, None, None, None), (3, "u", "<p>x</p>", None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, response_id string, captured string, status int, content_type string, payload_digest string")
+    plain = {(r.kind): r.record for r in warc.derive(df.where("page_id = 3").select("page_id", "url", "html")).collect()}
+    for at in ("timestamp", "timestamp_ntz", "string"):
+        day = F.concat(F.replace("captured", F.lit(" "), F.lit("T")), F.lit("Z")) if at == "string" else F.col("captured").cast(at)
+        zone = spark.conf.get("spark.sql.session.timeZone")
+        try:
+            spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+            out = {(r.page_id, r.kind): r for r in warc.derive(df.withColumn("captured", day)).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+        date = "2023-05-05T22:08:09Z" if at == "timestamp" else "2023-05-06T07:08:09Z"
+        for kind in ("metadata", "conversion"):
+            r = out[1, kind]
+            assert (r.refers_to, r.source_type, r.source_digest) == ("<urn:uuid:1>", "application/xhtml+xml", "sha1:ABC")
+            assert f"WARC-Date: {date}\r\n" in r.record and "X-Source-Content-Type: application/xhtml+xml\r\nX-Source-Payload-Digest: sha1:ABC\r\n" in r.record
+            assert out[2, kind].refers_to == "<urn:uuid:2>" and "WARC-Date: 2024-01-01T00:00:00Z\r\n" in out[2, kind].record
+            assert out[3, kind].record == plain[kind] and len({out[k, kind].record_id for k in (1, 2, 3)}) == 3
+        assert out[1, "metadata"].block.startswith("source-status: 404\r\nsource-type: application/xhtml+xml\r\n")
+        assert out[2, "metadata"].block.startswith("source-status: 200\r\nsource-type: text/html\r\n")
