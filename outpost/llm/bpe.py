@@ -62,7 +62,7 @@ class WordBpe:
         own = Tokenizer.from_str(definition)
         self.normalizer, self.splitter = own.normalizer, own.pre_tokenizer
         self.known: set[str] = set()
-        self.encoder = Encoder(lambda ws: [array('I', self.word(w)).tobytes() for w in ws], self.odd_text, False, tuple(s.encode() for s in self.added), keep=80_000)
+        self.encoder = Encoder(lambda ws: [array('I', self.word(w)).tobytes() for w in ws], self.odd_text, False, tuple(s.encode() for s in self.added), slots=1 << 18)
 
     def word(self, word: bytes) -> list[int]:
         """Ids of one word."""

@@ -2,7 +2,10 @@
 
 Most texts are plain: ASCII and the Latin letters of two bytes that start with 0xC3, without apostrophes or
 control characters. For those the cuts are found for a whole batch at once from byte classes; all other texts
-go through the tokenizer's own pattern. Both ways give the same words."""
+go through the tokenizer's own pattern. Both ways give the same words.
+
+Ids of words stay in a table of a fixed number of slots. A word of up to sixteen bytes is its own key there, as two
+integers, so words are told apart by what they are, and all words of a batch are looked up at once."""
 
 from __future__ import annotations
 
@@ -16,8 +19,11 @@ import pyarrow.compute as pc
 SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
 #: Bytes of text worked on at once; a longer text is worked on alone.
 CHUNK = 1 << 21
-#: Words of which the ids are kept, twice, before the oldest go.
-KEEP_WORDS = 300_000
+#: Slots for words of up to sixteen bytes, and ids of all of them before the slots are emptied.
+SLOTS = 1 << 21
+POOL = 1 << 22
+#: Longer words of which the ids are kept.
+KEEP_LONG = 20_000
 
 
 def _classes() -> np.ndarray:
@@ -65,32 +71,74 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+#: What of an eight-byte integer belongs to its first 0 to 8 bytes.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+class WordIds:
+    """Ids of words, looked up by the places of the words in a buffer. A slot holds the last word that fell into
+    it. ``new_words`` gives the ids of words (UTF-8) as 32-bit integers in bytes."""
+
+    def __init__(self, new_words: Callable[[list[bytes]], list[bytes]], slots: int, pool: int):
+        self.new_words, self.shift = new_words, np.uint64(65 - slots.bit_length())
+        self.head, self.tail = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.start, self.size = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
+        self.pool, self.used = np.zeros(pool, np.uint32), 0
+        self.long: dict[bytes, bytes] = {}
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        ids = [self.long.get(w) for w in words]
+        ask = [i for i, x in enumerate(ids) if x is None]
+        for i, x in zip(ask, self.new_words([words[i] for i in ask]) if ask else [], strict=True):
+            ids[i] = x
+            if len(words[i]) > 16 and len(self.long) < KEEP_LONG:
+                self.long[words[i]] = x
+        return ids
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and each word's place there and number of ids. No word is empty or has zero bytes."""
+        padded = np.zeros(len(data) + 16, np.uint8)
+        padded[: len(data)] = data
+        eight = np.ndarray(len(data) + 9, "<u8", padded, strides=(1,))
+        length = ends - starts
+        cut = np.minimum(length, 8)
+        head, tail = eight[starts] & _FIRST[cut], eight[starts + cut] & _FIRST[np.clip(length - 8, 0, 8)]
+        slot = tail * np.uint64(0x9E3779B97F4A7C15) + head
+        slot ^= slot >> np.uint64(32)
+        slot = ((slot * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).astype(np.int64)
+        short = length <= 16
+        at, size = self.start[slot].astype(np.int64), self.size[slot].astype(np.int64)
+        missing = np.flatnonzero(~(short & (self.head[slot] == head) & (self.tail[slot] == tail)))
+        if not len(missing):
+            return self.pool, at, size
+        text, different = data.tobytes(), {}
+        which = np.array([different.setdefault(text[s:e], len(different)) for s, e in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)])
+        ids = self._encoded(list(different))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        new, places = np.frombuffer(b"".join(ids), np.uint32), self.used + np.cumsum(sizes) - sizes
+        at[missing], size[missing] = places[which], sizes[which]
+        if self.used + len(new) > len(self.pool):
+            whole = np.concatenate((self.pool[: self.used], new))
+            self.head[:], self.used = 0, 0
+            return whole, at, size
+        self.pool[self.used : self.used + len(new)] = new
+        self.used += len(new)
+        # words of one slot: the last one stays, in all columns
+        kept = missing[short[missing]]
+        into = slot[kept]
+        self.head[into], self.tail[into], self.start[into], self.size[into] = head[kept], tail[kept], at[kept], size[kept]
+        return self.pool, at, size
+
+
 class Encoder:
     """Texts to token ids. ``new_words`` gives the ids of words (UTF-8) as 32-bit
     integers in bytes; ``odd_text`` gives the ids of a
     text that is not plain; ``tiled`` cuts as byte-level tokenizers do (a word keeps one space before it and
     white space counts), else white space is dropped, digits stand alone and letters are lowered."""
 
-    def __init__(self, new_words: Callable[[list[bytes]], list[bytes]], odd_text: Callable[[str], list[int]], tiled: bool, special: tuple[bytes, ...], keep: int = KEEP_WORDS):
-        self.new_words, self.odd_text, self.tiled, self.special, self.keep = new_words, odd_text, tiled, special, keep
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        young, old = self.young, self.old
-        out = [young.get(w) for w in words]
-        missing = []
-        for i, x in enumerate(out):
-            if x is None:
-                if (x := old.get(words[i])) is not None:
-                    young[words[i]] = out[i] = x
-                else:
-                    missing.append(i)
-        for i, ids in zip(missing, self.new_words([words[i] for i in missing]) if missing else [], strict=True):
-            young[words[i]] = out[i] = ids
-        if len(young) > self.keep:
-            self.old, self.young = young, {}
-        return out
+    def __init__(self, new_words: Callable[[list[bytes]], list[bytes]], odd_text: Callable[[str], list[int]], tiled: bool, special: tuple[bytes, ...], slots: int = SLOTS, pool: int = POOL):
+        self.odd_text, self.tiled, self.special = odd_text, tiled, special
+        self.words = WordIds(new_words, slots, pool)
 
     def _cuts(self, data: np.ndarray, cls: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Where words start. first: starts of texts."""
@@ -155,22 +203,12 @@ class Encoder:
             up = (data >= 0x41) & (data <= 0x5A)
             up[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
             data = data + np.where(up, np.uint8(32), np.uint8(0))
-        ends = np.append(cuts, len(data)).astype(np.int32)
-        words = pa.BinaryArray.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
-        coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        if self.tiled:
-            ids = self.ids(different)
-        else:
-            drop = [CLASSES[w[0]] == SPACE for w in different]
-            found = iter(self.ids([w for w, d in zip(different, drop, strict=True) if not d]))
-            ids = [b"" if d else next(found) for d in drop]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool = np.frombuffer(b"".join(ids), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        at = coded.indices.to_numpy()
-        n = sizes[at]
-        to = np.cumsum(n)
-        flat = pool[np.repeat(starts[at] - (to - n), n) + np.arange(to[-1])]
-        before = np.concatenate(([0], to))
+        ends = np.append(cuts[1:], len(data))
+        word = np.ones(len(cuts), bool) if self.tiled else CLASSES[data[cuts]] != SPACE
+        pool, at, size = self.words.find(data, cuts[word], ends[word])
+        n = np.zeros(len(cuts), np.int64)
+        n[word] = size
+        to = np.cumsum(size)
+        flat = pool[np.repeat(at - (to - size), size) + np.arange(size.sum())]
+        before = np.concatenate(([0], np.cumsum(n)))
         return flat, np.diff(before[np.searchsorted(cuts, offsets)])
