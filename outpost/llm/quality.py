@@ -69,14 +69,10 @@ def repeated_words(ws: Column, n: int = WINDOW) -> Column:
 
 
 def ngram_buckets(ws: Column, buckets: int = BUCKETS) -> Column:
-    """Hashed buckets of all words and all word pairs, as shorts."""
-    return F.transform(
-        F.concat(
-            F.transform(ws, lambda w: F.xxhash64(w)),
-            F.transform(ws, lambda w, i: F.xxhash64(w, F.get(ws, i + 1))),
-        ),
-        lambda h: F.pmod(h, F.lit(buckets)).cast("short"),
-    )
+    """Hashed buckets of all words and all pairs of neighbouring words, as shorts."""
+    bucket = lambda *w: F.pmod(F.xxhash64(*w), F.lit(buckets)).cast("short")
+    firsts = F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0)))
+    return F.concat(F.transform(ws, lambda w: bucket(w)), F.transform(firsts, lambda w, i: bucket(w, F.get(ws, i + 1))))
 
 
 def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:

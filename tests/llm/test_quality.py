@@ -1,7 +1,11 @@
+import math
 import random
 import re
+from collections import Counter
 
+import xxhash
 from outpost.llm import quality
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,11 +44,16 @@ def test_empty_and_unlabelled(spark):
     assert quality.judge(df.limit(0), labels).collect() == []
 
 
-def brute_scores(docs, good, buckets):
-    """The ratio over the same buckets, counted plainly."""
-    import math
-    from collections import Counter
+def grams_of(text, buckets):
+    """Buckets of all words and of all pairs of neighbours, from the text itself."""
+    w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    one = [xxhash.xxh64_intdigest(x, 42) for x in w]
+    two = [xxhash.xxh64_intdigest(b, h) for h, b in zip(one, w[1:])]
+    # signed 64-bit integers and a number of buckets that divides 2**64
+    return [h % buckets for h in one + two]
+
 
+def brute_scores(docs, good, buckets):
     all_, target = Counter(), Counter()
     for k, grams in docs:
         all_.update(grams)
@@ -56,9 +65,17 @@ def brute_scores(docs, good, buckets):
     return {k: int(sum(ratio[b] for b in grams) / len(grams)) if grams else None for k, grams in docs}
 
 
+def test_ngrams(spark):
+    texts = ["one", "", None, "a b", "a b a b\n\tc", " é  日本 \x0b x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    got = {r.doc_id: list(r.grams) for r in quality.statistics(df).collect()}
+    assert got == {i: grams_of(t, quality.BUCKETS) for i, t in enumerate(texts)}
+    assert [len(got[i]) for i in range(4)] == [1, 0, 0, 3]
+
+
 def test_scores(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
-    grams = [(r.doc_id, r.grams) for r in quality.statistics(docs).select("doc_id", "grams").collect()]
+    grams = [(r.doc_id, grams_of(r.text, quality.BUCKETS)) for r in docs.collect()]
     want = brute_scores(grams, {r.doc_id for r in labels.collect() if r.quality == 1}, quality.BUCKETS)
     got = quality.judge(docs, labels).collect()
     assert len(got) == len(grams)
@@ -67,6 +84,18 @@ def test_scores(spark):
         assert r.kept == (not r.base_failed and (r.score or 0) >= quality.THRESHOLD)
 
 
+def test_long_text_and_clashing_columns(spark):
+    long = " ".join(f"w{i % 700}x{i}" for i in range(200_000))
+    df = spark.createDataFrame([(1, long), (2, "a few words")], "doc_id int, text string")
+    for c in ("row", "grams", "kept", "score", "__sum", "n_words", "m"):
+        df = df.withColumn(c, F.lit(f"own {c}"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id int, quality int")
+    r = {r.doc_id: r for r in quality.judge(df, labels).collect()}
+    assert (r[1].n_words, r[1].n_repeat_words, r[1].kept, r[2].base_failed) == (200_000, 0, True, True)
+    kept = quality.keep_good(df, labels)
+    assert kept.columns == df.columns and [x.asDict() for x in kept.collect()] == [x.asDict() for x in df.where("doc_id = 1").collect()]
+
+
 def test_held_out_labels(spark):
     """Fitted on half of the labels, it tells the other half's good from bad documents."""
     sf = "/root/testdata/sf0.1"
