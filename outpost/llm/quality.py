@@ -7,21 +7,24 @@ that sums don't depend on the order of rows.
 
 DataFrame functions only. Texts are read once; their statistics and hashed n-grams (two bytes each) are
 written to the shared folder and read again for counting and scoring. Counting groups by bucket, of which
-there are ``buckets``, with partial sums before the shuffle; the score table has one row per bucket, a size
-fixed by a parameter, so it may be broadcast.
+there are ``buckets``, with partial sums before the shuffle. The ratios are one array of that size, fixed by a
+parameter, which a scalar subquery hands to all tasks: rows are scored where they are, without a join or a
+shuffle.
 
 Defined results. Null and empty texts have no words, all statistics 0, and are judged by the base rules
-alone. Repeated ids are separate rows, each judged. Without target labels, or without documents, the ratio is
+alone. A text of one word has no pair. Very long texts are worked on whole, one row at a time, in memory in
+proportion to the row. Repeated ids are separate rows, each judged. A score equal to the threshold is kept, so
+rows that tie have the same verdict. Without target labels, or without documents, the ratio is
 0 everywhere and keeps what the base rules keep. A target of few n-grams is pulled towards even
-shares by the smoothing, so a handful of labels beside a large corpus rejects nearly all documents. Labels with null ids or values are ignored; labels that
-repeat count once. Other columns of the input are neither read nor kept.
+shares by the smoothing, so a handful of labels beside a large corpus rejects nearly all documents. Labels with
+null ids or values are ignored; labels that repeat count once. ``judge`` neither reads nor keeps other columns
+of the input; ``keep_good`` keeps all of them, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from outpost.llm.identity import KEYS, identified, row_hash, row_id
 from outpost.llm.store import write_table
 from outpost.llm.words import WORD, word_array
 
@@ -75,10 +78,12 @@ def ngram_buckets(ws: Column, buckets: int = BUCKETS) -> Column:
     return F.concat(F.transform(ws, lambda w: bucket(w)), F.transform(firsts, lambda w, i: bucket(w, F.get(ws, i + 1))))
 
 
-def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """``doc_id`` with the text statistics and ``grams`` of every row of ``docs(doc_id, text)``."""
+def statistics(docs: DataFrame, buckets: int = BUCKETS, keep_rows: bool = False) -> DataFrame:
+    """``doc_id`` with the text statistics and ``grams`` of every row of ``docs(doc_id, text)``, and with the
+    whole ``row`` if asked for."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("doc_id", row_hash("text").alias("text_hash"), text.alias("text"))
+    row = [F.struct(*docs.columns).alias("row")] if keep_rows else []
+    d = docs.select("doc_id", text.alias("text"), *row)
 
     def of_words(ws: Column) -> Column:
         return F.struct(
@@ -91,15 +96,15 @@ def statistics(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
     return d.select(
         "doc_id",
-        "text_hash",
+        *[F.col("row") for _ in row],
         bound(word_array(F.col("text")), of_words).alias("of_words"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    ).select("doc_id", "text_hash", "of_words.n_words", "of_words.word_chars", "n_symbols", "n_dup_lines", "of_words.n_repeat_words", "of_words.grams")
+    ).select("doc_id", "of_words.n_words", "of_words.word_chars", "n_symbols", "n_dup_lines", "of_words.n_repeat_words", "of_words.grams", *[F.col("row") for _ in row])
 
 
 def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """``bucket, ratio``: log of the target's over the corpus's smoothed share, in millionths. The target's
+    """``bucket, ratio`` of every bucket: log of the target's over the corpus's smoothed share, in millionths. The target's
     counts come from at most ``target_rows`` labelled documents, those first by a seeded hash; the corpus's
     from all documents."""
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
@@ -107,29 +112,33 @@ def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoo
     d = stats.select("doc_id", "grams").join(F.broadcast(good), "doc_id", "left")
     g = d.select(F.explode("grams").alias("bucket"), F.coalesce("good", F.lit(0)).cast("long").alias("good"))
     counts = g.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("n_good"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_good"), F.lit(0)).alias("good")).first()
+    every = stats.sparkSession.range(buckets).select(F.col("id").cast("short").alias("bucket"))
+    counts = write_table(every.join(counts, "bucket", "left").fillna(0), "counts")
+    total = counts.agg(F.sum("n").alias("n"), F.sum("n_good").alias("good")).first()
     if not total["good"]:
         return counts.select("bucket", F.lit(0).cast("long").alias("ratio"))
     share = lambda c, all_: (F.col(c) + smoothing) / (all_ + smoothing * buckets)
     return counts.select("bucket", F.round(F.log(share("n_good", total["good"]) / share("n", total["n"])) * 1_000_000).cast("long").alias("ratio"))
 
 
+def _judged(docs: DataFrame, labels: DataFrame, buckets: int, threshold: int, keep_rows: bool) -> DataFrame:
+    stats = write_table(statistics(docs, buckets, keep_rows), "quality")
+    ratios = log_ratios(stats, labels, buckets)
+    in_order = F.array_sort(F.collect_list(F.struct("bucket", "ratio")))
+    array = ratios.agg(F.transform(in_order, lambda x: x["ratio"]))
+    total = F.aggregate("grams", F.lit(0).cast("long"), lambda acc, g: acc + F.get(F.col("__ratios"), g.cast("int")))
+    score = F.when(F.size("grams") > 0, F.expr("__sum div size(grams)"))
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
+    out = stats.withColumn("__ratios", array.scalar()).withColumn("__sum", total).withColumns({"base_failed": failed, "score": score})
+    out = out.drop("__ratios", "__sum", "grams")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0)) >= threshold))
+
+
 def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: int = THRESHOLD) -> DataFrame:
     """Statistics, base rules, ``score`` (mean log ratio in millionths, null without words) and ``kept``."""
-    rows = statistics(docs, buckets).withColumn("row", F.monotonically_increasing_id())
-    stats = write_table(rows, "quality")
-    ratios = write_table(log_ratios(stats, labels, buckets), "ratios")
-    grams = stats.select("row", F.explode("grams").alias("bucket"))
-    # a row's n-grams lie in one task, so its sum is whole before the shuffle
-    sums = grams.join(F.broadcast(ratios), "bucket").groupBy("row").agg(F.sum("ratio").alias("sum"), F.count(F.lit(1)).alias("n"))
-    score = F.expr("sum div n")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    out = stats.drop("grams").join(sums, "row", "left").withColumns({"base_failed": failed, "score": score})
-    kept = ~F.col("base_failed") & (F.coalesce("score", F.lit(0)) >= threshold)
-    return out.withColumn("kept", kept).drop("row", "sum", "n")
+    return _judged(docs, labels, buckets, threshold, False)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **rules: int) -> DataFrame:
-    """The rows of ``docs`` that are kept; all columns stay. A row is known by its id and its text, null or not."""
-    kept = judge(docs, labels, **rules).where("kept").select(row_id().alias("id"), F.col("text_hash").alias("hash")).distinct()
-    return identified(docs, "text").join(write_table(kept, "kept"), KEYS, "left_semi").select("row.*")
+def keep_good(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that are kept; all columns stay."""
+    return _judged(docs, labels, buckets, threshold, True).where("kept").select("row.*")
