@@ -1,19 +1,25 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 Words are handed out in blocks of equal size. Blocks go to sources by the highest quotients
-``target / (2 j + 1)``, the quota of a source goes to its shards by the highest quotients of their sizes, and
-each shard takes its quota of blocks from its documents, which stand in seeded order. A shard that must give
-more blocks than it has gives whole passes first. Of a document taken in part, the words of just its picked
-blocks are taken, wherever in it they are.
+``target / (2 j + 1)``; the quota of a source goes to groups of its shards, and that of a group to its shards,
+by the highest quotients of their sizes. What a source's quota misses of its target, or has too much, is less
+than a few blocks; its shard with the largest quota takes that many words more or fewer, so small sources
+come to their targets too. Each shard takes its words from its documents, which stand in seeded order: a shard
+that must give more than it has gives whole passes first, then seeded blocks spaced evenly over it, one of them
+cut to what is left. Of a document taken in part, the words of just its picked blocks are taken, wherever in it
+they are.
 
 DataFrame functions only. The documents are never collected by source: a source is cut into shards of about
-``shard_words`` words by a seeded hash of the id, so a source with a third of all rows has more shards, not
-larger ones. What is small is one row per source and one per shard.
+``shard_words`` words by a seeded hash of id and size, so a source with a third of all rows has more shards, not
+larger ones, and a shard's group has at most about ``GROUP_SHARDS`` of them. What is small is one row per source
+and one per shard; all sources stand in one window, which wants one task to sort a row each.
 
 Defined results. A null or empty text has size 0 and takes 0 words. A null source is a source of its own.
-Repeated ids are separate rows of the same shard. No rows or no words at all: every target and ``taken`` is
-0. A weight that is null or not above 0 counts as 0. Only the id, source and size columns are read, so that
-other columns can't clash; a source missing in ``weights`` has weight 0.
+Repeated ids are separate rows; those of equal size stand in the same shard. Ties of quotients go to the source
+or shard that comes first, null last. A very long text is one row of its shard, which then is larger. No rows or
+no words at all: every target and ``taken`` is 0. A weight that is null or not above 0 counts as 0. Only the id,
+source and size columns are read, so that other columns can't clash; a source missing in ``weights`` has
+weight 0.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ from outpost.operators.joins import lookup_join
 
 BLOCK_WORDS = 64
 SHARD_WORDS = 1 << 18
+#: Shards in a group, about.
+GROUP_SHARDS = 4096
 MOST_PASSES = 3
 SEED = 20240501
 
@@ -83,8 +91,8 @@ def sainte_lague(df: DataFrame, share: str, seats: Column, group: list[str], tie
 def mix(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, passes: int = MOST_PASSES, seed: int = SEED) -> DataFrame:
     """``docs(doc_id, source, size)`` and ``weights(source, weight)`` to
     ``doc_id, source, size, source_size, target, quota, taken``: the words that the mix takes of each row,
-    at most ``passes`` times its size. ``start, phase, more, blocks`` tell which words ``picked`` takes once
-    more: the row's place in its shard, and the shard's phase, blocks to take and number of blocks."""
+    at most ``passes`` times its size. ``start`` is the row's place in its shard, the columns of ``PICKS`` tell
+    which of the shard's words ``picked`` takes once more."""
     docs = write_table(docs.select("doc_id", "source", "size"), "sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     sized = lookup_join(sizes, weights.select("source", "weight"), ["source"], "left")
@@ -95,45 +103,62 @@ def mix(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, shard_wor
     goal = goal.withColumn("shards", F.greatest(F.ceil(F.col("source_size") / F.lit(shard_words)), F.lit(1)).cast("long"))
     goal = write_table(goal.select("source", "source_size", "target", "quota", "shards"), "goals")
 
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     dealt = lookup_join(docs, goal.select("source", "shards"), ["source"]).withColumns({
-        "shard": F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("shards")), "__order": order,
+        "shard": F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), F.col("shards")), "__order": F.xxhash64(F.lit(seed), "doc_id"),
     })
-    in_shard = Window.partitionBy("source", "shard")
-    before = in_shard.orderBy("__order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = dealt.withColumns({"__start": F.coalesce(F.sum("size").over(before), F.lit(0)), "__words": F.sum("size").over(in_shard)})
-
-    shards = docs_shards(docs, goal, seed)
-    quotas = sainte_lague(shards, "shard_size", F.col("quota"), ["source"], [F.col("shard")], "shard_quota")
-    quotas = quotas.select("source", "shard", "shard_quota", "source_size", "target", "quota")
-    m = lookup_join(dealt, quotas, ["source", "shard"])
-
-    n_blocks = F.ceil(F.col("__words") / F.lit(block)).cast("long")
-    m = m.withColumn("__nb", F.greatest(n_blocks, F.lit(1).cast("long")))
-    m = m.withColumn("__q", F.least(F.col("shard_quota"), F.col("__nb") * passes))
-    m = m.withColumns({"__full": F.floor(F.col("__q") / F.col("__nb")).cast("long"), "__more": F.col("__q") % F.col("__nb")})
-    # of the blocks of a shard, spaced evenly from a seeded phase on, exactly __more are taken once more
-    m = m.withColumn("__phase", F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.col("__nb")))
-    end = F.col("__start") + F.col("size")
-    touched = F.sequence(F.floor(F.col("__start") / block), F.floor((end - 1) / block))
-    chosen = F.filter(touched, lambda b: picked(b, F.col("__phase"), F.col("__more"), F.col("__nb")))
-    words = F.aggregate(chosen, F.lit(0).cast("long"), lambda acc, b: acc + F.least(end, (b + 1) * block) - F.greatest(F.col("__start"), b * block))
-    taken = F.when(F.col("size") <= 0, F.lit(0)).otherwise(F.col("__full") * F.col("size") + F.when(F.col("__more") > 0, words).otherwise(0))
-    how = [F.col(c).alias(name) for c, name in (("__start", "start"), ("__phase", "phase"), ("__more", "more"), ("__nb", "blocks"))]
-    return m.select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), *how)
-
-
-def picked(b: Column, phase: Column, more: Column, blocks: Column) -> Column:
-    """Whether block ``b`` of a shard is one of the ``more`` that are taken once more."""
-    return F.pmod((b + phase) * more, blocks) < more
-
-
-def docs_shards(docs: DataFrame, goal: DataFrame, seed: int) -> DataFrame:
-    """One row per shard with its size and its source's figures."""
-    dealt = lookup_join(docs, goal.select("source", "shards"), ["source"])
-    shard = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("shards"))
-    sizes = dealt.groupBy("source", shard.alias("shard")).agg(F.sum("size").alias("shard_size"))
-    return lookup_join(sizes, goal.drop("shards"), ["source"])
+    shards = write_table(dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")), "shards")
+    plan = write_table(shard_plan(shards, goal, block, passes, seed), "plan")
+    before = Window.partitionBy("source", "shard").orderBy("__order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.drop("shards").withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    m = lookup_join(placed, plan, ["source", "shard"])
+
+    start, end, picks = F.col("start"), F.col("start") + F.col("size"), [F.col(c) for c in PICKS]
+    touched = F.sequence(F.floor(start / block), F.floor((end - 1) / block))
+    until = lambda b: b * block + F.when(b == F.col("cut"), F.col("cut_words")).when(picked(b * block, *picks, block=block), block).otherwise(0)
+    words = F.aggregate(touched, F.lit(0).cast("long"), lambda acc, b: acc + F.greatest(F.least(end, until(b)) - F.greatest(start, b * block), F.lit(0)))
+    taken = F.when(F.col("size") <= 0, F.lit(0)).otherwise(F.col("whole_passes") * F.col("size") + words)
+    return m.select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), "start", *PICKS)
+
+
+#: What ``picked`` knows of a shard: its whole blocks, from where they are counted, how many are picked, and the
+#: block of which only the first words are.
+PICKS = ["blocks", "phase", "more", "cut", "cut_words"]
+
+
+def picked(word: Column, blocks: Column, phase: Column, more: Column, cut: Column, cut_words: Column, block: int = BLOCK_WORDS) -> Column:
+    """Whether a word of a shard, by its place, is one of those that are taken once more: of the whole blocks,
+    spaced evenly from a seeded phase on, exactly ``more``."""
+    b = F.floor(word / F.lit(block))
+    whole = (b < blocks) & (F.pmod((b + phase) * more, F.greatest(blocks, F.lit(1))) < more)
+    return F.when(b == cut, word - b * block < cut_words).otherwise(whole)
+
+
+def shard_plan(shards: DataFrame, goal: DataFrame, block: int, passes: int, seed: int) -> DataFrame:
+    """``source, shard, source_size, target, quota, whole_passes`` and ``PICKS`` of every shard, from
+    ``shards(source, shard, shard_size)`` and the sources' ``goal``."""
+    s = lookup_join(shards, goal, ["source"])
+    s = s.withColumn("group", F.pmod(F.col("shard"), F.ceil(F.col("shards") / F.lit(GROUP_SHARDS))))
+    groups = s.groupBy("source", "group").agg(F.sum("shard_size").alias("group_size"), F.first("quota").alias("quota"))
+    groups = sainte_lague(groups, "group_size", F.col("quota"), ["source"], [F.col("group")], "group_quota")
+    s = lookup_join(s, groups.select("source", "group", "group_quota"), ["source", "group"])
+    s = sainte_lague(s, "shard_size", F.col("group_quota"), ["source", "group"], [F.col("shard")], "shard_quota")
+    # the words that the source's blocks miss go to, or come from, its shard with the largest quota
+    most = s.groupBy("source").agg(F.min_by("shard", F.struct((-F.col("shard_quota")).alias("q"), "shard")).alias("most"))
+    s = lookup_join(s, most, ["source"])
+    rest = F.when(F.col("shard") == F.col("most"), F.round("target") - F.col("quota") * block).otherwise(0)
+    want, all_ = (F.col("shard_quota") * block + rest).cast("long"), F.col("shard_size") * passes
+    # a source whose target is all that it may give has no shard that may give less
+    want = F.when(F.round("target") >= F.col("source_size") * passes, all_).otherwise(F.greatest(want, F.lit(0).cast("long")))
+    s = s.withColumn("want", F.least(want, all_))
+    some = F.greatest("shard_size", F.lit(1).cast("long"))
+    s = s.withColumns({"whole_passes": F.floor(F.col("want") / some).cast("long"), "left": F.col("want") % some, "blocks": F.floor(F.col("shard_size") / F.lit(block)).cast("long")})
+    s = s.withColumns({"more": F.floor(F.col("left") / F.lit(block)).cast("long"), "cut_words": F.col("left") % block})
+    s = s.withColumn("phase", F.pmod(F.xxhash64(F.lit(seed + 2), "source", "shard"), F.greatest("blocks", F.lit(1).cast("long"))))
+    # words below a block: the head of a picked block if one is left (that at the phase always is), else of the tail
+    inside = (F.col("cut_words") > 0) & (F.col("more") < F.col("blocks"))
+    cut = F.when(inside, F.pmod(-F.col("phase"), F.col("blocks"))).when(F.col("cut_words") > 0, F.col("blocks")).otherwise(-1)
+    s = s.withColumn("cut", cut.cast("long")).withColumn("more", F.col("more") + inside.cast("long"))
+    return s.select("source", "shard", "source_size", "target", "quota", "whole_passes", *PICKS)
 
 
 def cycled_weights(docs: DataFrame, cycle: tuple[float, ...] = (5.0, 2.0, 1.0)) -> DataFrame:
@@ -151,11 +176,10 @@ def take(docs: DataFrame, weights: DataFrame, block: int = BLOCK_WORDS, **method
     pieces = F.filter(F.split("row.text", "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"), lambda x: x.rlike(WORD))
     rows = identified(docs, "text", "source")
     sizes = rows.select(F.struct(*KEYS).alias("doc_id"), "row.source", word_count(F.col("row.text")).alias("size")).dropDuplicates(["doc_id"])
-    how = ("start", "phase", "more", "blocks")
-    taken = mix(sizes, weights, block=block, **method).where("taken > 0").select("doc_id.*", "size", "taken", *how)
+    taken = mix(sizes, weights, block=block, **method).where("taken > 0").select("doc_id.*", "size", "taken", "start", *PICKS)
     rows = rows.join(write_table(taken, "taken"), KEYS)
     whole, rest = F.expr("taken div size"), F.col("taken") % F.col("size")
-    at = lambda i: picked(F.floor((F.col("start") + i) / F.lit(block)), *[F.col(c) for c in how[1:]])
+    at = lambda i: picked(F.col("start") + i, *[F.col(c) for c in PICKS], block=block)
     words = F.array_join(F.filter(pieces, lambda _, i: at(i)), "")
     words = F.when(at(F.lit(0)), words).otherwise(F.regexp_replace(words, "^[\\x20\\x09-\\x0D]+", ""))
     part = F.when(rest > 0, F.array(words)).otherwise(F.array().cast("array<string>"))

@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import public_tokenizers
 from outpost.llm import pii
+from test_mixing import in_order
 from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.01"
@@ -52,7 +53,7 @@ def test_stages(spark, tmp_path):
 
     before, after, _, _ = stages[3]
     texts = {r.doc_id: r.text for r in before}
-    assert all(texts[r.doc_id].startswith(r.text) or r.text == texts[r.doc_id] for r in after)
+    assert all(r.text == texts[r.doc_id] or in_order(WORD.findall(r.text), WORD.findall(texts[r.doc_id])) for r in after)
     words = lambda rows: Counter({s: 0 for s in {r.source for r in rows}}) + sum((Counter({r.source: len(WORD.findall(r.text))}) for r in rows), Counter())
     old, new = words(before), words(after)
     weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(old))}
