@@ -34,21 +34,24 @@ def lookup_join(df: DataFrame, small: DataFrame, keys: list[str], how: str = "in
 
 def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, share: int = HOT_SHARE) -> DataFrame | None:
     """``keys, __pieces``: keys of more than ``rows`` rows and more than one in ``share`` of all rows, and into
-    how many pieces they are split. There are at most ``share`` of them, whatever the input; None for none."""
+    how many pieces they are split. There are at most ``share`` of them, whatever the input; None for none.
+    df: a table, as it is read more than once."""
     total = df.count()
-    if total <= rows:
-        return None
+    return hot_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")), keys, "__n", total, rows, share) if total > rows else None
+
+
+def hot_counts(counts: DataFrame, keys: list[str], n: str, total: int, rows: int = HOT_ROWS, share: int = HOT_SHARE) -> DataFrame | None:
+    """As ``hot_keys``, where the rows ``n`` of each key and of all of them are known."""
     limit = max(rows, -(-total // share))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
-    found = counts.select(*keys, F.ceil(F.col("__n") / F.lit(limit)).cast("int").alias("__pieces")).collect()
-    return df.sparkSession.createDataFrame(found, counts.select(*keys, F.lit(0).alias("__pieces")).schema) if found else None
+    hot = counts.where(F.col(n) > limit).select(*keys, F.ceil(F.col(n) / F.lit(limit)).cast("int").alias("__pieces"))
+    found = hot.collect()
+    return hot.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def salted_join(df: DataFrame, right: DataFrame, keys: list[str], salt: list[str], how: str = "inner", rows: int = HOT_ROWS, share: int = HOT_SHARE) -> DataFrame:
-    """Equi-join by ``keys``, inner or left, that deals the rows of a hot key of ``df`` to several tasks by a
-    hash of the columns ``salt``; the rows that ``right`` has of such a key go to each of them. ``right`` should
-    have few rows a key. ``df`` is read twice, so it should be a table. Null keys meet nothing."""
-    hot = hot_keys(df.select(*keys), keys, rows, share)
+def salted_join(df: DataFrame, right: DataFrame, keys: list[str], salt: list[str], hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """Equi-join by ``keys``, inner or left, that deals the rows of the keys ``hot`` (see ``hot_keys``) of ``df``
+    to several tasks by a hash of the columns ``salt``; the rows that ``right`` has of such a key go to each of
+    them. ``right`` should have few rows a key. Null keys meet nothing."""
     if hot is None:
         return df.join(right, keys, how)
     hot = F.broadcast(hot)

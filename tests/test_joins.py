@@ -18,18 +18,17 @@ def hot(spark):
 def test_salted_join(spark, hot, how):
     right = spark.range(0, 4000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
     right = right.unionByName(right.where("k = 0"))
-    assert values(joins.salted_join(hot, right, ["k"], ["v"], how)) == values(hot.join(right, ["k"], how))
-    assert [(r.k, r["__pieces"]) for r in joins.hot_keys(hot, ["k"]).collect()] == [(0, 2)]
+    assert values(joins.salted_join(hot, right, ["k"], ["v"], joins.hot_keys(hot, ["k"]), how)) == values(hot.join(right, ["k"], how))
+    assert [tuple(r) for r in joins.hot_keys(hot, ["k"]).collect()] == [(0, 2)]
     assert joins.hot_keys(hot.limit(0), ["k"]) is None
-    assert values(joins.salted_join(hot.limit(5), right, ["k"], ["v"], how)) == values(hot.limit(5).join(right, ["k"], how))
+    assert values(joins.salted_join(hot.limit(5), right, ["k"], ["v"], None, how)) == values(hot.limit(5).join(right, ["k"], how))
 
 
 def test_salted_join_spreads(spark, hot):
     right = spark.createDataFrame([(0, 1)], "k long, w int")
-    out = joins.salted_join(hot, right, ["k"], ["v"], rows=100)
-    assert out.count() == 1000
-    pieces = joins.hot_keys(hot, ["k"], rows=100).where("k = 0").first()["__pieces"]
-    assert pieces == 10
+    keys = joins.hot_keys(hot, ["k"], rows=100)
+    assert [tuple(r) for r in keys.collect()] == [(0, 10)]
+    assert joins.salted_join(hot, right, ["k"], ["v"], keys).count() == 1000
 
 
 def test_paired(spark, hot):
