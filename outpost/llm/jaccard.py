@@ -22,14 +22,18 @@ their shingles are fetched. Whatever is decided is decided on the whole sets.
 
 Scale. Counting shingles moves five bytes a shingle: blocks of texts send each part of the hash space the
 shingles they hold, once for all copies in the block and once for all sets that share one, and get back how
-many of each class's occur elsewhere. No key gathers more than one entry a block. Nothing is collected but
-counts and a histogram of set sizes in bins.
+many of each class's occur elsewhere. No shingle gathers more than one entry a block, of texts here and of
+candidate sets when the candidates' shingles are put in order. A key, pivot, set or label that very many rows
+have is dealt to several tasks. Nothing is collected but counts, hot keys (a stated number at most) and a
+histogram of set sizes in bins. Blocks and parts both grow in number with the input, so a message holds ever
+fewer shingles: their number is bounded by that of the shingles, but past some hundred GB it is the larger cost.
 
 Defined results. A null or empty text, or one without words, has no shingles, links with nothing and is its
-own component. A text of fewer than five words has its whole sequence as its only shingle. Repeated ids are
-separate rows; equal texts are linked through their class. ``component_id`` is the smallest id of the
-component; ids must not be null for that (a null id is ignored in it). Columns other than the id and the text
-are not kept.
+own component. A text of fewer than five words has its whole sequence as its only shingle. A very long text is
+a block of its own, worked on whole. Repeated ids are separate rows; equal texts are linked through their class.
+``component_id`` is the smallest id of the component; ids must not be null for that (a null id is ignored in
+it). Pairs that tie at the threshold are linked. Sets are told apart by 128 bits made of their shingles' 64-bit
+hashes, which rest on no comparison of words. Columns other than the id and the text are not kept.
 """
 
 from __future__ import annotations
@@ -49,7 +53,7 @@ from outpost.llm.identity import KEYS, identified, row_hash, row_id
 from outpost.llm.pretokens import buffers, chunks
 from outpost.llm.shingles import shingle_sets
 from outpost.llm.store import small_batches, write_table
-from outpost.operators.joins import lookup_join
+from outpost.operators.joins import hot_counts, hot_keys, lookup_join, paired, salted_join
 
 THRESHOLD = 80
 #: Shingles of one part of the hash space, about.
@@ -213,7 +217,7 @@ def candidate_keys(docs: DataFrame, n_shingles: int, threshold: int) -> DataFram
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cid, n, block, shingles`` of the wanted classes. wanted: ``cid, rep, k1, k2``."""
+    """``cid, n, shingles`` of the wanted classes. wanted: ``cid, rep, hash, k1, k2``, id and hash of one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,22 +229,29 @@ def _candidate_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 at = np.flatnonzero(same)
                 yield pa.RecordBatch.from_arrays([part.column("cid").take(pa.array(at)), pa.array(counts[at].astype(np.int64)), pa.array([raw[cuts[i] : cuts[i + 1]] for i in at.tolist()], pa.binary())], names=["cid", "n", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    rows = lookup_join(rows, wanted, ["rep"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), row_hash("text").alias("hash"), "text")
+    rows = lookup_join(rows, wanted, ["rep", "hash"])
     return rows.select("cid", "k1", "k2", "text").mapInArrow(run, "cid long, n long, shingles binary").dropDuplicates(["cid"])
 
 
+def _different(sets: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different shingles of a block's sets, ordered by part of the hash space: how many sets of the block hold
+    each, and edges of the parts. Also the place of each set's shingles among them, and how many each has."""
+    hashes, per_set = _joined(sets["shingles"], "<u8")
+    part = (hashes >> np.uint64(32)) % np.uint64(parts)
+    # what tells a shingle from others of its part is the low half of its hash
+    _, first, inverse, n = np.unique(part << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF), return_index=True, return_inverse=True, return_counts=True)
+    return hashes[first], n, np.searchsorted(part[first], np.arange(parts + 1)), inverse, per_set
+
+
 def _ask_counts(parts: int):
     def run(sets: pa.Table) -> pa.Table:
-        """A block's shingles by part of the hash space, sets in the order of their ids."""
-        sets = sets.sort_by("cid")
-        hashes, _ = _joined(sets["shingles"], "<u8")
-        part = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        raw, cuts = (hashes[order] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), (4 * cuts).tolist()
-        chosen = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
-        return pa.table({"part": pa.array(chosen, pa.int32()), "block": pa.array([sets["block"][0].as_py()] * len(chosen), pa.int64()), "rest": pa.array([raw[cuts[p] : cuts[p + 1]] for p in chosen], pa.binary())})
+        """A block's shingles by part of the hash space, each once with how many sets of the block hold it."""
+        different, n, edges, _, _ = _different(sets, parts)
+        chosen = np.flatnonzero(np.diff(edges)).tolist()
+        cut = lambda x: pa.array([x[edges[p] : edges[p + 1]].tobytes() for p in chosen], pa.binary())
+        rest = (different & np.uint64(0xFFFFFFFF)).astype("<u4")
+        return pa.table({"part": pa.array(chosen, pa.int32()), "block": pa.array([sets["block"][0].as_py()] * len(chosen), pa.int64()), "rest": cut(rest), "held": cut(n.astype("<u4"))})
 
     return run
 
@@ -248,7 +259,9 @@ def _ask_counts(parts: int):
 def _count(messages: pa.Table) -> pa.Table:
     """How many sets hold each shingle of each message, up to 65535."""
     rest, per_row = _joined(messages["rest"], "<u4")
-    _, inverse, n = np.unique(rest, return_inverse=True, return_counts=True)
+    held, _ = _joined(messages["held"], "<u4")
+    _, inverse = np.unique(rest, return_inverse=True)
+    n = np.bincount(inverse, held)
     raw, cuts = np.minimum(n, 65535)[inverse].astype("<u2").tobytes(), (2 * np.concatenate(([0], np.cumsum(per_row)))).tolist()
     return pa.table({"part": messages["part"], "block": messages["block"], "counts": pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
@@ -266,12 +279,10 @@ _PREFIXES = "cid long, n long, misses long, bits array<long>, prefix array<long>
 def _prefix(parts: int, threshold: int):
     def run(sets: pa.Table, counts: pa.Table) -> pa.Table:
         """Rare shingles first: the prefix of each set, without those that no other set holds."""
-        hashes, per_set = _joined(sets["shingles"], "<u8")
-        part = ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        df = np.empty(len(hashes), np.int64)
+        hashes = _joined(sets["shingles"], "<u8")[0]
+        _, _, _, inverse, per_set = _different(sets, parts)
         answers = dict(zip(counts["part"].to_pylist(), counts["counts"].to_pylist(), strict=True))
-        df[order] = np.frombuffer(b"".join([answers[p] for p in sorted(answers)]), "<u2")
+        df = np.frombuffer(b"".join([answers[p] for p in sorted(answers)]), "<u2").astype(np.int64)[inverse]
         out: dict[str, list] = {k: [] for k in ("cid", "n", "misses", "bits", "prefix", "counts")}
         end = np.cumsum(per_set)
         for cid, s, e in zip(sets["cid"].to_pylist(), (end - per_set).tolist(), end.tolist(), strict=True):
@@ -301,14 +312,9 @@ def prefixes(sets: DataFrame, n_shingles: int, threshold: int) -> DataFrame:
     parts = max(8, math.ceil(n_shingles / PART_SHINGLES))
     blocks = max(8, math.ceil(n_shingles / PART_SHINGLES))
     s = sets.withColumn("block", F.pmod(F.xxhash64(F.lit(SEED), "cid"), F.lit(blocks)))
-    asked = s.select("block", "cid", "shingles").groupBy("block").applyInArrow(_ask_counts(parts), "part int, block long, rest binary")
+    asked = s.select("block", "cid", "shingles").groupBy("block").applyInArrow(_ask_counts(parts), "part int, block long, rest binary, held binary")
     counts = asked.groupBy("part").applyInArrow(_count, "part int, block long, counts binary")
-    # both sides of a block in the order of their keys, so that places agree
-    return s.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_aligned(_prefix(parts, threshold)), _PREFIXES)
-
-
-def _aligned(f):
-    return lambda sets, counts: f(sets.sort_by("cid"), counts.sort_by("part"))
+    return s.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_prefix(parts, threshold), _PREFIXES)
 
 
 def boundary_of(p: DataFrame, rounds: int = ROUNDS) -> int:
@@ -350,10 +356,15 @@ def keys(p: DataFrame, boundary: int, threshold: int) -> DataFrame:
 # ------------------------------------------------- checking
 
 
-def plausible(pairs: DataFrame, p: DataFrame, threshold: int) -> DataFrame:
+def _with_both(pairs: DataFrame, side, hot: tuple[DataFrame | None, DataFrame | None]) -> DataFrame:
+    """Pairs with the columns of both their sets; a pivot's very many pairs in several tasks."""
+    return salted_join(salted_join(pairs, side("a"), ["a"], ["b"], hot[0]), side("b"), ["b"], ["a"], hot[1])
+
+
+def plausible(pairs: DataFrame, p: DataFrame, threshold: int, hot: tuple[DataFrame | None, DataFrame | None] = (None, None)) -> DataFrame:
     """Pairs ``a, b`` whose sizes and bitmaps allow the threshold, with both sizes."""
     side = lambda s: p.select(F.col("cid").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"bits{s}"))
-    j = pairs.join(side("a"), "a").join(side("b"), "b")
+    j = _with_both(pairs, side, hot)
     differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
     total = F.col("na") + F.col("nb")
     # |A xor B| = |A| + |B| - 2 |A and B|, and the overlap must be at least t / (100 + t) of |A| + |B|
@@ -367,7 +378,7 @@ def _overlaps(pairs: pa.RecordBatch) -> np.ndarray:
     return np.array([len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, threshold: int, hot: tuple[DataFrame | None, DataFrame | None] = (None, None)) -> DataFrame:
     """``a, b, ok`` by the overlap of the whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,7 +388,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([x.column("a"), x.column("b"), pa.array(ok)], names=["a", "b", "ok"])
 
     side = lambda s: sets.select(F.col("cid").alias(s), F.col("shingles").alias(f"s{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    both = _with_both(pairs, side, hot).select("a", "b", "na", "nb", "sa", "sb")
     return both.mapInArrow(run, "a long, b long, ok boolean")
 
 
@@ -396,10 +407,15 @@ def linked(p: DataFrame, sets: DataFrame, k: DataFrame, threshold: int, rounds:
 
     for r in range(rounds + 1):
         rank = F.when(F.col("most") >= F.col("n"), F.struct(F.col("misses") / F.col("n"), F.xxhash64(F.lit(r), "cid")))
-        state = lists.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max_by(F.struct("cid", "label", "n", "most"), rank).alias("p"), F.max(F.col("most") >= F.col("n")).alias("any"), F.min("n").alias("least"))
+        state = lists.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max_by(F.struct("cid", "label", "n", "most"), rank).alias("p"), F.max(F.col("most") >= F.col("n")).alias("any"), F.min("n").alias("least"), F.count(F.lit(1)).alias("many"))
         # a pair's smaller set is within its own bound
-        state = state.where("l0 <> l1 and any").select("key", "least", F.col("p.cid").alias("pivot"), F.col("p.label").alias("pl"), F.col("p.n").alias("np"), F.col("p.most").alias("mostp"))
-        lists = write_table(lists.join(state, "key").where("most >= least").drop("least"), "lists")
+        state = state.where("l0 <> l1 and any").select("key", "least", "many", F.col("p.cid").alias("pivot"), F.col("p.label").alias("pl"), F.col("p.n").alias("np"), F.col("p.most").alias("mostp"))
+        state = write_table(state, "states")
+        total = state.agg(F.coalesce(F.sum("many"), F.lit(0)).alias("n")).first()["n"]
+        if not total:
+            break
+        lists = salted_join(lists, state, ["key"], ["cid"], hot_counts(state, ["key"], "many", total)).where("most >= least").drop("least")
+        lists = write_table(lists, "lists")
         if r < rounds:
             pairs = lists.where((F.col("label") != F.col("pl")) & counts("", "p")).select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b"))
             todo = pairs.distinct().join(tried, ["a", "b"], "left_anti")
@@ -407,13 +423,16 @@ def linked(p: DataFrame, sets: DataFrame, k: DataFrame, threshold: int, rounds:
             lists = lists.where("cid <> pivot")
         else:
             side = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("cid", "label", "n", "most")]
-            x, y = lists.where("most >= n").select("key", *side("x")), lists.select("key", *side("y"))
+            x, y = lists.where("most >= n").select("key", "many", *side("x")), lists.select("key", "many", *side("y"))
             fits = (F.col("labelx") != F.col("labely")) & (F.col("nx") <= F.col("ny")) & counts("x", "y")
-            todo = x.join(y, "key").where(fits).select(F.least("cidx", "cidy").alias("a"), F.greatest("cidx", "cidy").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+            met = paired(x, y, "key", "many", ("cidx", "cidy")).where(fits)
+            todo = met.select(F.least("cidx", "cidy").alias("a"), F.greatest("cidx", "cidy").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         todo = write_table(todo, "pairs")
-        known = write_table(verified(plausible(todo, p, threshold), sets, threshold).where("ok").select("a", "b"), "links")
+        hot = (hot_keys(todo, ["a"]), hot_keys(todo, ["b"]))
+        likely = write_table(plausible(todo, p, threshold, hot), "plausible")
+        known = write_table(verified(likely, sets, threshold, hot).where("ok").select("a", "b"), "links")
         tried = tried.unionByName(todo)
-        lists = lists.drop("pivot", "pl", "np", "mostp")
+        lists = lists.drop("pivot", "pl", "np", "mostp", "many")
         if known.isEmpty():
             continue
         edges = edges.unionByName(known)
@@ -433,23 +452,27 @@ def _joined_rows(docs: DataFrame, threshold: int, rounds: int = ROUNDS, boundary
     small_batches(docs.sparkSession)
     rows = write_table(set_keys(docs), "sets")
     full = rows.where("n_shingles > 0")
-    classes = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"))
-    classes = write_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
+    classes = full.groupBy("k1", "k2").agg(first, F.first("n_shingles").alias("n"))
+    classes = classes.select("k1", "k2", "n", F.col("first.doc_id").alias("rep"), "first.hash", F.monotonically_increasing_id().alias("cid"))
+    classes = write_table(classes, "classes")
     total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first()["n"]
     wanted = candidate_keys(docs, total, threshold).distinct().join(classes, ["k1", "k2"])
-    wanted = write_table(wanted.select("cid", "rep", "k1", "k2", "n"), "wanted")
+    wanted = write_table(wanted.select("cid", "rep", "hash", "k1", "k2", "n"), "wanted")
     some = wanted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    hot = None
     if some:
         sets = write_table(_candidate_sets(docs, wanted.drop("n")), "shingles")
         p = write_table(prefixes(sets, some, threshold), "prefixes")
         k = write_table(keys(p, boundary_of(p) if boundary is None else boundary, threshold), "keys")
         labels = linked(p, sets, k, threshold, rounds)
+        hot = hot_keys(labels, ["label"])
         classes = classes.join(labels.select(F.col("id").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     else:
         classes = classes.withColumn("label", F.col("cid"))
     least = classes.groupBy("label").agg(F.min("rep").alias("component_id"))
-    classes = write_table(classes.join(least, "label").select("k1", "k2", "component_id", "label"), "components")
-    found = full.join(classes, ["k1", "k2"]).select("doc_id", "n_shingles", "component_id", "hash", "label")
+    classes = write_table(salted_join(classes, least, ["label"], ["cid"], hot).select("k1", "k2", "component_id", "label"), "components")
+    found = salted_join(full, classes, ["k1", "k2"], ["doc_id", "hash"], hot_keys(full, ["k1", "k2"])).select("doc_id", "n_shingles", "component_id", "hash", "label")
     return found.unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "hash", F.lit(None).cast("long").alias("label")))
 
 

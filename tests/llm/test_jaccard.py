@@ -3,6 +3,7 @@ import re
 
 import pytest
 from outpost.llm import components, jaccard
+from outpost.operators import joins
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -77,3 +78,31 @@ def test_components(spark):
     assert {k: found[k] for k in (1, 2, 3, 8, 9, 20, 21)} == {1: 1, 2: 1, 3: 1, 8: 1, 9: 1, 20: 20, 21: 20}
     assert all(found[i] == 100 for i in range(100, 161)) and 30 not in found
     assert components.components(df.limit(0)).collect() == []
+
+
+def test_split_keys(spark, monkeypatch):
+    """Every key of more than three rows in pieces: the same components, whichever way the rows meet."""
+    few = {"hot_keys": lambda df, keys: joins.hot_keys(df, keys, 3), "hot_counts": lambda c, keys, n, total: joins.hot_counts(c, keys, n, total, 3)}
+    for name, f in few.items():
+        monkeypatch.setattr(jaccard, name, f)
+    monkeypatch.setattr(jaccard, "paired", lambda x, y, key, many, salt: joins.paired(x, y, key, many, salt, 3))
+    monkeypatch.setattr(components, "hot_keys", few["hot_keys"])
+    rng = random.Random(9)
+    words = [f"v{i}" for i in range(40)]
+    rows = [edited(rng, words, rng.randrange(5)) for _ in range(60)] + [words] * 12
+    rows += [words[:20] + [f"x{rng.randrange(10**6)}" for _ in range(20)] for _ in range(20)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    for rounds in (0, 2):
+        assert got(spark, rows, rounds=rounds) == brute(rows)
+
+
+def test_rows_without_ids(spark):
+    """Very many rows with a null or the same id are told apart by their texts."""
+    rng = random.Random(3)
+    base = [f"v{i}" for i in range(120)]
+    texts = [" ".join(edited(rng, base, 2)) for _ in range(40)]
+    df = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)] + [(1, " ".join(base))], "doc_id int, text string")
+    out = jaccard.join(df)
+    assert out.count() == 41
+    linked = {i for i, t in enumerate(texts) if 100 * len(shingles(t) & shingles(" ".join(base))) >= 80 * len(shingles(t) | shingles(" ".join(base)))}
+    assert out.where("component_id = 1").count() >= len(linked) + 1 > 20
