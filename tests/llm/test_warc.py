@@ -2,6 +2,8 @@ import hashlib
 import html
 import html.entities
 import re
+import time
+import uuid
 
 from outpost.llm import warc
 from pyspark.sql import functions as F
@@ -67,3 +69,28 @@ def test_source_headers_are_kept(spark):
             assert out[3, kind].record == plain[kind] and len({out[k, kind].record_id for k in (1, 2, 3)}) == 3
         assert out[1, "metadata"].block.startswith("source-status: 404\r\nsource-type: application/xhtml+xml\r\n")
         assert out[2, "metadata"].block.startswith("source-status: 200\r\nsource-type: text/html\r\n")
+
+
+def test_markup_is_read_once():
+    began = time.process_time()
+    for piece in ("<!--", "<script>", "<script ", "<style><script>", "<br ", "<!-- -->x", "</script", "<", "&", "&#", "<script>x</style>"):
+        text = piece * (5_000_000 // len(piece))
+        assert isinstance(warc.visible(text), str)
+    assert time.process_time() - began < 2 * 11
+
+
+def test_hidden_elements_end_with_their_own_tag():
+    assert warc.visible("a<script>x</style>y</script\n>b<style>z</STYLE >c<script d>e") == "a b ce"
+    assert warc.visible("a<script <style>b</style>c") == "a<script c"
+    assert warc.visible("a<!-- b <!-- c --> d --> e <!-- f") == "a d --> e <!-- f"
+
+
+def test_no_value_adds_lines(spark):
+    rows = [(1, "http://h/\r\nWARC-Type: response", "<title>a\r\nb</title>x", "t/x\r\nEvil: 1")]
+    for r in warc.derive(spark.createDataFrame(rows, "page_id int, url string, html string, content_type string")).collect():
+        head = r.record.split("\r\n\r\n")[0].split("\r\n")
+        assert len([h for h in head if h.startswith("WARC-Type")]) == 1 and not any(h.startswith("Evil") for h in head)
+        assert "WARC-Target-URI: http://h/%0D%0AWARC-Type: response" in head and "X-Source-Content-Type: t/x Evil: 1" in head
+        assert "WARC-Refers-To-Date: 2024-01-01T00:00:00Z" in head
+        for i in (r.record_id, r.refers_to):
+            assert uuid.UUID(i[10:-1]).version == 3 and uuid.UUID(i[10:-1]).variant == uuid.RFC_4122
