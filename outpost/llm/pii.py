@@ -8,9 +8,9 @@ digit counts).
 Kinds, in the order they are listed: ``email, ip, card, phone`` (the base kinds), then the method's own
 ``url`` (a URL with user info), ``account`` (an IBAN with a right checksum, or the number after an account
 cue), ``secret`` (the value after a token, key or password cue). Spans may overlap; an own span that lies wholly
-inside another span is dropped, of equal ones the later kind.
+inside another span is dropped; of own spans that tie, with the same start and end, the kind listed first stays.
 
-Every text is scanned whole, in time linear in its length. Tasks hold one Arrow batch; no shuffle.
+Every text, however long, is scanned whole, in time linear in its length. Tasks hold one Arrow batch; no shuffle.
 
 Defined results. A null or empty text has no spans. Repeated ids are separate rows. Positions are code
 points, end exclusive. Other columns of the input are not kept by the query; ``redact`` keeps all columns.
@@ -46,7 +46,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SCHEME_START = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
+_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+_LETTER = re.compile("[A-Za-z]")
 _USER_URL = re.compile(r"[^\s/?#@\x00-\x1f]++@[A-Za-z0-9.-]++(?::[0-9]{1,5})?(?:[/?#][^\s\"'<>]*+)?")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}")
 _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,33}(?![0-9])")
@@ -129,8 +130,13 @@ def _cards(text: str) -> Iterator[tuple[int, int]]:
 def _urls(text: str, at: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     free = 0
     for p, after in at:
-        scheme = _SCHEME_START.search(text, max(free, p - 32), p) if p >= free else None
-        if scheme and (m := _USER_URL.match(text, after)):
+        if p < free:
+            continue
+        start = p
+        while start > free and text[start - 1] in _SCHEME:
+            start -= 1
+        # the colon of an earlier sign is no character of a scheme, so that nothing is read back twice
+        if (scheme := _LETTER.search(text, start, p)) and (m := _USER_URL.match(text, after)):
             free = m.end()
             yield scheme.start(), free
 

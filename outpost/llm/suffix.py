@@ -195,10 +195,17 @@ class Block:
     def stretches(self, runs_of: tuple[np.ndarray, ...], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Different stretches of bytes, ordered by part: place of one occurrence of each, smallest id that
         has it, edges of the parts; and each occurrence's stretch."""
-        _, _, _, filed, key, doc = runs_of
+        first, many, at, filed, key, doc = runs_of
         part = _part(filed, parts)
         order = np.lexsort((key, part))
-        runs = np.flatnonzero(np.concatenate(([True], (key[order][1:] != key[order][:-1]) | (part[order][1:] != part[order][:-1])))) if len(key) else np.zeros(0, np.int64)
+        new = np.ones(len(key), bool)
+        near = np.flatnonzero((key[order][1:] == key[order][:-1]) & (part[order][1:] == part[order][:-1]))
+        # neighbours with equal hashes are one stretch if their bytes are equal
+        x, y = order[near], order[near + 1]
+        size = many + (LENGTH - 1)
+        alike = (many[x] == many[y]) & ((at - first)[x] == (at - first)[y])
+        new[1:][near] = ~(alike & equal_bytes(self.data, first[x], first[y], np.minimum(size[x], size[y])))
+        runs = np.flatnonzero(new)
         one = order[runs]
         ids = self.ids[doc[order]]
         least = np.minimum.reduceat(ids, runs) if len(runs) else ids

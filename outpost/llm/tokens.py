@@ -10,7 +10,8 @@ the pages and columns it doesn't need.
 The texts are shuffled once, by range; ids never are. A task holds one Arrow batch beside Spark's sort.
 
 Defined results. A null or empty text has the end id alone. Repeated ids are separate rows, in the order of
-their texts' hashes; a null id comes first. Other columns are not written. No rows: no ids.
+their texts' hashes; a null id comes first. Very many rows of one id, or without one, are spread by these hashes.
+A very long text is encoded alone, and its ids are one row. Other columns are not written. No rows: no ids.
 """
 
 from __future__ import annotations
@@ -93,7 +94,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, row_
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "part_start", "n_tokens", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(run, _SCHEMA)
+    order = ("doc_id", F.xxhash64("text"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, _SCHEMA)
     options = {"parquet.writer.version": "PARQUET_2_0", "parquet.block.size": str(row_group), "parquet.page.size": str(page), "parquet.enable.dictionary": "true"}
     options |= {f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part_start", "n_tokens")}
     rows.write.options(**options).parquet(path)

@@ -15,8 +15,10 @@ sums of the scores reach the driver.
 
 Defined results. A null url, or one without ``://``, has an empty host and path, fits no rule, and is judged
 as the host ``''``. A null html has no links. Links without a host are links within the page's host and
-carry nothing to others, so they are left out. Repeated pages count as often as they are given; each gets a
-row. Without pages there are no rows. Other columns are not kept.
+carry nothing to others, so they are left out. Very long pages are searched whole, once. Repeated pages count as
+often as they are given; each gets a row. A host whose judged pages have as many of one verdict as of the other
+is no seed; distrust that ties with trust doesn't block. Without pages there are no rows. Other columns are not
+kept.
 """
 
 from __future__ import annotations

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings, strategies as st
 from outpost.llm import pii
@@ -105,3 +106,16 @@ def test_secrets_in_settings():
     assert pii.spans("mytoken=ghp_A1b2C3d4E5f6 tokens=ghp_A1b2C3d4E5f6 token: none") == []
     for piece in ("_token=", '"token" : "', "_token=1", '_token"'):
         pii.spans(piece * 300_000)
+
+
+def test_long_schemes_and_secrets_are_whole():
+    scheme, secret = "a" + "b1+.-" * 12, "Zz9_" * 200
+    text = f"see 9-{scheme}://u:p@host/x and token = {secret} end"
+    found = {k: text[s:e] for k, s, e in pii.spans(text)}
+    assert found["url"] == f"{scheme}://u:p@host/x" and found["secret"] == secret
+    left = pii._masked(text, pii.spans(text))
+    assert scheme not in left and secret[-12:] not in left
+    began = time.process_time()
+    for piece in ("a://", "://", "x" * 50 + "://", "a://u@", "token=", "token=x"):
+        pii.spans(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - began < 20

@@ -70,3 +70,21 @@ def test_a_hash_collision_removes_nothing():
     order = suffix.SuffixOrder(data)
     order.prefixes.sums[:] = 0
     assert not order.same(np.array([0]), np.array([60])).any() and order.same(np.array([3]), np.array([3])).all()
+
+
+def test_equal_hashes_of_unequal_stretches(spark, monkeypatch):
+    """With all hashes of stretches the same, bytes alone tell them apart."""
+    rng = np.random.default_rng(2)
+    pool = [bytes(rng.integers(97, 100, 120, np.uint8)) for _ in range(4)]
+    texts = [b"".join(pool[i] for i in rng.integers(0, 4, 5)) for _ in range(12)]
+    sizes = np.array([len(t) for t in texts], "<i8")
+    block = suffix.Block(np.arange(len(texts), dtype="<i8").tobytes(), sizes.tobytes(), b"".join(texts))
+    a = block.anchors
+    every = (a.first, a.many, a.at, a.hash, a.stretch, a.doc)
+    one, least, edges, where = block.stretches(every, 3)
+    collided = (*every[:4], np.zeros(len(a.first), np.uint64), a.doc)
+    for runs_of in (every, collided):
+        one, least, _, where = block.stretches(runs_of, 3)
+        data = block.data.tobytes()
+        string = lambda i: (data[a.first[i] : a.first[i] + a.many[i] + 49], a.at[i] - a.first[i])
+        assert all(string(i) == string(one[where[i]]) and least[where[i]] <= a.doc[i] for i in range(len(a.first)))
