@@ -2,7 +2,8 @@
 
 Each returns a ``Change``: the table's rows after the statement and the rows that it touched, from which
 RETURNING lists and row counts are selected. Nothing runs until one of them is used. Conditions that are null
-touch nothing. Joins are left to Catalyst; only keys are shuffled where neither side is small.
+touch nothing. Keys are compared with ``=``, so a null key matches nothing: such a source row is new, such a
+target row has no match. Joins are left to Catalyst; only keys are shuffled where neither side is small.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _TARGET, _SOURCE = "__in_target", "__in_source"
 
@@ -86,7 +87,7 @@ def _sided(table: DataFrame, source: DataFrame, keys: Sequence[str], how: str) -
 def update_from(table: DataFrame, source: DataFrame, keys: Sequence[str], values: Mapping[str, Column], where: Column | None = None) -> Change:
     """Update rows that match ``source`` by ``keys``; ``values`` and ``where`` may use ``s.<column>``. A row
     that would match two source rows has no defined result, so that the source's keys must differ."""
-    require_unique(source, keys, "UPDATE FROM")
+    require_unique(source.select(*keys).join(table.select(*keys).distinct(), list(keys), "left_semi"), keys, "UPDATE FROM")
     j = _sided(table, source, keys, "left")
     hit = F.col(_SOURCE).isNotNull() & _hit(where)
     new = {c: values[c].cast(table.schema[c].dataType) for c in values}
@@ -94,6 +95,19 @@ def update_from(table: DataFrame, source: DataFrame, keys: Sequence[str], values
     return Change(after, j.where(hit).select(*[new.get(c, F.col(c)).alias(c) for c in table.columns]))
 
 
+def update_where(table: DataFrame, source: DataFrame, on: Column, values: Mapping[str, Column], keys: Sequence[str]) -> Change:
+    """UPDATE … FROM with any predicate: rows of ``table`` (known by ``keys``, which must be unique) that meet a row
+    of ``source``, which may be a join itself, take ``values``. One that meets several rows is an error."""
+    names = {c: f"__new_{c}" for c in values}
+    met = table.join(source, on).select(*[table[k] for k in keys], *[values[c].cast(table.schema[c].dataType).alias(n) for c, n in names.items()])
+    require_unique(met, keys, "UPDATE FROM")
+    j = table.join(met.withColumn(_SOURCE, F.lit(True)), list(keys), "left")
+    hit = F.col(_SOURCE).isNotNull()
+    new = lambda c: F.col(names[c]) if c in names else F.col(c)
+    after = j.select(*[F.when(hit, new(c)).otherwise(F.col(c)).alias(c) for c in table.columns])
+    return Change(after, j.where(hit).select(*[new(c).alias(c) for c in table.columns]))
+
+
 @dataclass(frozen=True)
 class When:
     """A clause of MERGE. ``kind``: ``matched``, ``not matched`` or ``not matched by source``; ``do``:
@@ -109,11 +123,12 @@ _ALLOWED = {"matched": {"update", "delete", "nothing"}, "not matched": {"insert"
 
 
 def merge(table: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Sequence[When]) -> Change:
-    """The first clause that fits a row decides. One full outer join; ``touched`` has ``merge_action`` too."""
+    """The first clause that fits a row decides. One full outer join; ``touched`` has ``merge_action`` too. Keys
+    that occur more than once in the source are an error where they match; where they don't, each is a new row."""
     for c in clauses:
         if c.do not in _ALLOWED.get(c.kind, set()):
             raise ChangeError(f"WHEN {c.kind} THEN {c.do}")
-    require_unique(source, keys, "MERGE")
+    require_unique(source.select(*keys).join(table.select(*keys).distinct(), list(keys), "left_semi"), keys, "MERGE")
     j = _sided(table, source, keys, "full")
     state = {
         "matched": F.col(_TARGET).isNotNull() & F.col(_SOURCE).isNotNull(),
@@ -143,7 +158,16 @@ def merge(table: DataFrame, source: DataFrame, keys: Sequence[str], clauses: Seq
 
 
 def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], values: Mapping[str, Column] | None = None) -> Change:
-    """INSERT … ON CONFLICT (keys) DO UPDATE SET ``values`` (which may use ``s.<column>``), or DO NOTHING if None."""
+    """INSERT … ON CONFLICT (keys) DO UPDATE SET ``values`` (which may use ``s.<column>``), or DO NOTHING if None.
+    Rows with a null key conflict with nothing."""
+    given = rows.where(" and ".join(f"`{k}` is not null" for k in keys))
+    if values is None:
+        # of new rows with the same key the first goes in, in the order of all their columns
+        others = rows.where(" or ".join(f"`{k}` is null" for k in keys))
+        pick = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c for c in rows.columns if c not in keys] or keys))
+        rows = given.withColumn("__pick", pick).where("__pick = 1").drop("__pick").unionByName(others)
+    else:
+        require_unique(given, keys, "ON CONFLICT DO UPDATE")
     new = {c: F.col(f"s.{c}") for c in rows.columns}
     on_conflict = When("matched", "nothing") if values is None else When("matched", "update", values)
     return merge(table, rows, keys, [on_conflict, When("not matched", "insert", new)])

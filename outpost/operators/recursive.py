@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def closure(base: DataFrame, step: Callable[[DataFrame], DataFrame], max_rounds: int = 1000) -> DataFrame:
     """``WITH RECURSIVE … UNION``: rows of ``base`` and of ``step`` over the rows found last, each once, until
-    a round finds no new ones. Found rows are checkpointed each round, so plans stay short and a lost
-    executor costs a reread; the session needs a checkpoint folder. Raises if ``max_rounds`` are not enough."""
-    found = fresh = base.distinct().checkpoint()
-    for _ in range(max_rounds):
-        fresh = step(fresh).distinct().exceptAll(found).checkpoint()
+    a round finds no new ones. Each round's new rows are written once, to the session's checkpoint folder, so
+    plans stay short and a lost executor costs a reread. Raises if ``max_rounds`` are not enough, or without a
+    checkpoint folder."""
+    spark, root = base.sparkSession, base.sparkSession.sparkContext.getCheckpointDir()
+    if not root:
+        raise RuntimeError("a recursive query needs a checkpoint folder")
+    path = f"{root}/closure-{uuid.uuid4().hex}"
+
+    def written(rows: DataFrame, k: int) -> DataFrame:
+        # columns by position, with the names and types of the base
+        rows = rows.toDF(*base.columns).select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in base.schema])
+        rows.write.parquet(f"{path}/{k}")
+        return spark.read.schema(base.schema).parquet(f"{path}/{k}")
+
+    fresh = written(base.distinct(), 0)
+    for k in range(1, max_rounds + 1):
+        found = spark.read.schema(base.schema).option("recursiveFileLookup", "true").parquet(path)
+        fresh = written(step(fresh).subtract(found), k)
         if fresh.isEmpty():
             return found
-        found = found.unionAll(fresh).checkpoint()
     raise RuntimeError(f"still new rows after {max_rounds} rounds")

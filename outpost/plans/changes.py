@@ -6,19 +6,22 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from outpost.functions.uri import parse_endpoint
 from outpost.operators import change, recursive, rows
 from outpost.operators.change import When
 from outpost.operators.joins import lookup_join
 from outpost.sources import TABLES, read_table
+from outpost.sources.namespace import CatalogError, attach, lookup
 from outpost.streaming import ingest
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared folder, or on this machine where none is named."""
+    """A new folder in the shared folder that the cluster names, or on this machine if all executors are on it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}" if base else "file://" + tempfile.mkdtemp(prefix="outpost-")
 
 
@@ -116,7 +119,8 @@ def b39_checked_broadcast_join(spark, d):
 
 
 def a46_catalog_tables(spark, d):
-    return spark.createDataFrame([(t, c, kind) for t in TABLES for c, kind in read_table(spark, d, t).dtypes], "table_name string, column_name string, kind string").select("table_name", "column_name")
+    """Tables and columns as the attached folder has them; only those of the driver, should there be others."""
+    return attach(spark, d, "here", read_only=True).columns().where(F.col("table_name").isin(*TABLES)).select("table_name", "column_name")
 
 
 def a72_endpoint_parser(spark, d):
@@ -172,8 +176,6 @@ def a12_generators(spark, d):
 
 def b40_two_namespaces(spark, d):
     """The same folder attached twice, and a local frame, in one plan."""
-    from outpost.sources.namespace import attach
-
     a, b = attach(spark, d, "a"), attach(spark, d, "b")
     local = spark.createDataFrame([(i,) for i in range(0, 25, 3)], "k int")
     nations = a.table("a.nation").join(local, F.col("n_nationkey") == F.col("k"))
@@ -182,8 +184,6 @@ def b40_two_namespaces(spark, d):
 
 def b86_set_ops_over_namespaces(spark, d):
     """Tables of two namespaces and a local frame in one tree of set operations."""
-    from outpost.sources.namespace import attach
-
     a, b = attach(spark, d, "a"), attach(spark, d, "b")
     local = spark.createDataFrame([(i,) for i in range(0, 25, 5)], "k int")
     both = a.table("supplier").select(F.col("s_nationkey").alias("k")).intersect(b.table("customer").select("c_nationkey"))
@@ -202,8 +202,6 @@ def b100_changes_from_subquery(spark, d):
 
 def b134_alter_table(spark, d):
     """A table's columns dropped, renamed and added, published, then the table renamed."""
-    from outpost.sources.namespace import attach
-
     shop = attach(spark, _scratch(spark), "shop")
     shop.create("s.nation", read_table(spark, d, "nation"))
     shop.alter("s.nation", drop=["n_regionkey"], rename={"N_NAME": "name"}, add={"active": F.lit(True), "info": F.struct(F.col("n_nationkey").alias("k"))})
@@ -212,6 +210,137 @@ def b134_alter_table(spark, d):
     return shop.table("s.country").select("n_nationkey", "name", "active", F.col("info.k").alias("k"), F.col("info.twice").alias("twice"))
 
 
+def _customers(spark, d):
+    return read_table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+
+
+def b120_insert_returning(spark, d):
+    new = read_table(spark, d, "region").select((F.col("r_regionkey") + 300).alias("k"), "r_name")
+    return change.insert(read_table(spark, d, "nation"), new, ["n_nationkey", "n_name"], {"n_regionkey": F.lit(7)}).returning()
+
+
+def b120_delete_returning(spark, d):
+    return change.delete(_customers(spark, d), F.col("c_acctbal") < 0).returning("c_custkey", (-F.col("c_acctbal")).alias("owed"))
+
+
+def b121_returning_expressions(spark, d):
+    """RETURNING with a function and a scalar subquery."""
+    top = read_table(spark, d, "orders").agg(F.max("o_totalprice")).scalar()
+    c = change.update(_customers(spark, d), {"c_acctbal": F.lit(0.0)}, F.col("c_acctbal") > 9000)
+    return c.returning("c_custkey", F.concat(F.lit("customer "), F.col("c_custkey").cast("string")).alias("label"), top.alias("top"))
+
+
+def b101_change_feeds_change(spark, d):
+    """What a delete returns is inserted elsewhere, and what that insert returns is updated."""
+    gone = change.delete(_customers(spark, d), F.col("c_nationkey") == 3)
+    kept = change.insert(_customers(spark, d).where("c_nationkey = 4"), gone.returning("c_custkey", "c_nationkey", "c_acctbal"))
+    return change.update(kept.returning(), {"c_nationkey": F.lit(-1)}, F.col("c_acctbal") < 0).after
+
+
+def b114_update_joined(spark, d):
+    """UPDATE … FROM two joined sources with a predicate that is no equality of keys alone."""
+    c, n, r = _customers(spark, d), read_table(spark, d, "nation"), read_table(spark, d, "region")
+    source = n.join(r, n["n_regionkey"] == r["r_regionkey"])
+    on = (c["c_nationkey"] == source["n_nationkey"]) & (c["c_acctbal"] > source["r_regionkey"] * 1000)
+    return change.update_where(c, source, on, {"c_acctbal": F.col("r_regionkey") * 10.0}, ["c_custkey"]).after
+
+
+def b116_delete_using_joined(spark, d):
+    c, n, r = _customers(spark, d), read_table(spark, d, "nation"), read_table(spark, d, "region")
+    source = n.join(r, n["n_regionkey"] == r["r_regionkey"]).where("r_regionkey > 2")
+    return change.delete_using(c, source, (c["c_nationkey"] == source["n_nationkey"]) & (c["c_acctbal"] < source["n_nationkey"] * 100)).after
+
+
+def b117_merge_repeated_keys(spark, d):
+    """Source keys that repeat, but match nothing, are each inserted; null keys match nothing."""
+    t = read_table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_regionkey").alias("v")).where("k < 5")
+    s = read_table(spark, d, "nation").select(F.when(F.col("n_nationkey") < 22, F.col("n_nationkey") % 9).alias("k"), F.lit(50).alias("v")).where("k is null or k >= 5")
+    return change.merge(t, s, ["k"], [When("matched", "update", {"v": F.col("s.v")}), When("not matched", "insert", {"k": F.col("s.k"), "v": F.col("s.v")})]).after
+
+
+def b122_change_over_namespaces(spark, d):
+    """A table of one namespace changed by a local frame and a table of another one."""
+    here, shop = attach(spark, d, "here", read_only=True), attach(spark, _scratch(spark), "shop")
+    shop.create("nation", here.table("nation"))
+    local = spark.createDataFrame([(i,) for i in range(0, 25, 4)], "n_nationkey int")
+    shop.apply("nation", change.delete_using(shop.table("nation"), local, ["n_nationkey"]))
+    region = here.table("region").select((F.col("r_regionkey") + 400).alias("k"), "r_name", "r_regionkey")
+    shop.apply("shop.nation", change.insert(shop.table("nation"), region))
+    return shop.table("nation")
+
+
+def b131_view(spark, d):
+    """A stored view over a stored view and a table, read after the table has changed."""
+    shop = attach(spark, _scratch(spark), "shop")
+    shop.create("s.customer", _customers(spark, d))
+    shop.create_view("s.rich", "select c_custkey, c_nationkey from {s.customer} where c_acctbal > 5000")
+    shop.create_view("by_nation", "select c_nationkey, count(*) as n from {shop.s.rich} group by c_nationkey")
+    shop.apply("s.customer", change.delete(shop.table("s.customer"), F.col("c_custkey") % 2 == 0))
+    return shop.table("by_nation")
+
+
+def b132_schema(spark, d):
+    """Schemas made and dropped; what may not go stays."""
+    shop = attach(spark, _scratch(spark), "shop")
+    shop.create_schema("a")
+    shop.create_schema("a.b")
+    shop.create_schema("A", if_not_exists=True)
+    region = read_table(spark, d, "region")
+    shop.create("a.b.t", region)
+    shop.create("c.t", region)
+    said = []
+    for name, what in (("again", lambda: shop.create_schema("A.B")), ("no parent", lambda: shop.create_schema("x.y")), ("not empty", lambda: shop.drop_schema("a")), ("no table", lambda: shop.drop("a.b")), ("missing", lambda: shop.drop_schema("z"))):
+        try:
+            what()
+        except CatalogError:
+            said.append((name, "error"))
+    shop.drop_schema("a", cascade=True)
+    shop.drop_schema("a", if_exists=True)
+    left = shop.tables().select(F.concat_ws(".", "schema_name", "table_name").alias("name"), F.lit("left").alias("what"))
+    return spark.createDataFrame(said, "name string, what string").union(left)
+
+
+def b139_drop_if_exists(spark, d):
+    shop = attach(spark, _scratch(spark), "shop")
+    region = read_table(spark, d, "region")
+    shop.create("t", region)
+    shop.create("T", region.limit(0), if_not_exists=True)
+    shop.create("u", region)
+    shop.create("u", region.where("r_regionkey = 1"), replace=True)
+    shop.drop("U2", if_exists=True)
+    rows = shop.table("t").unionByName(shop.table("shop.u"))
+    shop.create("both", rows)
+    shop.drop("T")
+    return shop.table("both")
+
+
+def b137_search_path(spark, d):
+    """An unqualified name found along a search path, and a qualified one."""
+    here, shop = attach(spark, d, "here", read_only=True), attach(spark, _scratch(spark), "shop")
+    shop.create("s.nation", read_table(spark, d, "nation").where("n_nationkey < 5"))
+    found = lookup(spark, "nation", [here, shop], ["shop.s", "here"])
+    return found.join(lookup(spark, "region", [here, shop], ["shop.s", "here"]), F.col("n_regionkey") == F.col("r_regionkey")).union(lookup(spark, "here.nation", [here, shop]).crossJoin(here.table("region").where("r_regionkey = 0")).where("n_nationkey = 7"))
+
+
+def b138_local_first(spark, d):
+    """A temporary view hides a table of the same name on the search path."""
+    here = attach(spark, d, "here", read_only=True)
+    name = "part"
+    read_table(spark, d, "part").where("p_size = 1").createOrReplaceTempView(name)
+    try:
+        local = lookup(spark, name, [here], ["here"])
+    finally:
+        spark.catalog.dropTempView(name)
+    far = lookup(spark, name, [here], ["here"]).where("p_size = 2")
+    return local.unionByName(far).select("p_partkey", "p_size")
+
+
+def b65_numbered_by_order(spark, d):
+    """``row_number() over ()`` of a source with an order: numbered by that order, as rows have none of their own."""
+    top = read_table(spark, d, "orders").where("o_totalprice > 300000").select("o_orderkey")
+    return top.select("o_orderkey", F.row_number().over(Window.orderBy("o_orderkey")).cast("long").alias("n"))
+
+
 _UPSERT = "from (select n_nationkey as k, n_regionkey as v from nation where n_nationkey < 15) t full join (select n_nationkey as k, n_regionkey * 10 as v from nation where n_nationkey >= 10) s on t.k = s.k"
 _MERGE = f"""select case when t.k is not null and s.k is not null and s.v > 30 then 'DELETE' when t.k is not null and s.k is not null then 'UPDATE'
     when t.k is null and s.v < 40 then 'INSERT' when s.k is null and t.k < 5 then 'UPDATE' end as merge_action, coalesce(t.k, s.k) as k, t.k is not null as old,
@@ -234,7 +363,21 @@ _ALL: dict[Callable[[SparkSession, str], DataFrame], str] = {
     b73_limit_subquery: "select o_orderkey from orders order by o_totalprice desc, o_orderkey limit (select count(*) from nation) offset (select count(*) from region)",
     b38_join_duplicate_names: "select a.n_nationkey as i, b.n_nationkey as i_1 from nation a join nation b on a.n_nationkey + 1 = b.n_nationkey",
     b39_checked_broadcast_join: "select n_name, count(*) as n from customer join nation on n_nationkey = c_nationkey group by n_name",
-    a46_catalog_tables: "select table_name, column_name from information_schema.columns where table_schema = 'main'",
+    a46_catalog_tables: "select table_name, column_name from information_schema.columns where table_schema = 'main' and table_name in (" + ", ".join(f"'{t}'" for t in TABLES) + ")",
+    b120_insert_returning: "select r_regionkey + 300 as n_nationkey, r_name as n_name, cast(7 as integer) as n_regionkey from region",
+    b120_delete_returning: "select c_custkey, -c_acctbal as owed from customer where c_acctbal < 0",
+    b121_returning_expressions: "select c_custkey, 'customer ' || c_custkey as label, (select max(o_totalprice) from orders) as top from customer where c_acctbal > 9000",
+    b101_change_feeds_change: "select c_custkey, case when c_acctbal < 0 then -1 else c_nationkey end as c_nationkey, c_acctbal from customer where c_nationkey = 3",
+    b114_update_joined: "select c_custkey, c_nationkey, case when c_acctbal > r_regionkey * 1000 then r_regionkey * 10.0::double else c_acctbal end as c_acctbal from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
+    b116_delete_using_joined: "select c_custkey, c_nationkey, c_acctbal from customer join nation on c_nationkey = n_nationkey where not (n_regionkey > 2 and c_acctbal < n_nationkey * 100)",
+    b117_merge_repeated_keys: "select n_nationkey as k, n_regionkey as v from nation where n_nationkey < 5 union all select k, 50 from (select case when n_nationkey < 22 then n_nationkey % 9 end as k from nation) where k is null or k >= 5",
+    b122_change_over_namespaces: "select * from nation where n_nationkey % 4 <> 0 union all select r_regionkey + 400, r_name, r_regionkey from region",
+    b131_view: "select c_nationkey, count(*) as n from customer where c_acctbal > 5000 and c_custkey % 2 = 1 group by c_nationkey",
+    b132_schema: "select unnest(['again', 'no parent', 'not empty', 'no table', 'missing']) as name, 'error' as what union all select 'c.t', 'left'",
+    b139_drop_if_exists: "select * from region union all select * from region where r_regionkey = 1",
+    b137_search_path: "select * from nation join region on n_regionkey = r_regionkey where n_nationkey < 5 union all select * from nation, region where r_regionkey = 0 and n_nationkey = 7",
+    b138_local_first: "select p_partkey, p_size from part where p_size in (1, 2)",
+    b65_numbered_by_order: "select o_orderkey, row_number() over (order by o_orderkey) as n from orders where o_totalprice > 300000",
     a72_endpoint_parser: "select n_nationkey, lower(n_name) || '.example.org' as host, case when n_nationkey % 2 = 0 then n_nationkey + 9000 else 9494 end as port, 'http://' || lower(n_name) || '.example.org:' || (case when n_nationkey % 2 = 0 then n_nationkey + 9000 else 9494 end) as url from nation",
     b99_recursive_union: "with recursive r as (select cast(1 as bigint) as k union select unnest([k * 2 % (select count(*) from customer), k * 3 % (select count(*) from customer)]) as k from r) select k from r",
     b140_scalar_function: "select l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) as net from lineitem where l_extendedprice * (1 - l_discount) > 90000",

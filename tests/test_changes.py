@@ -1,8 +1,10 @@
+import time
+
 import pytest
-from outpost.operators import change, rows
+from outpost.operators import change, recursive, rows
 from outpost.operators.change import ChangeError, Constraints, When
 from outpost.operators.joins import lookup_join
-from outpost.sources.namespace import CatalogError, altered, attach
+from outpost.sources.namespace import CatalogError, altered, attach, lookup
 from outpost.streaming import ingest
 from pyspark.sql import functions as F
 
@@ -149,3 +151,118 @@ def test_alter_errors(spark):
     for wrong in ({"drop": ["z"]}, {"rename": {"z": "y"}}, {"rename": {"a": "S"}}, {"add": {"A": F.lit(1)}}, {"add": {"z.y": F.lit(1)}}):
         with pytest.raises(CatalogError):
             altered(df, **wrong)
+
+
+def test_names_are_resolved_alike(spark, tmp_path, t, s):
+    ns = attach(spark, f"file://{tmp_path}/ns", "shop")
+    ns.create("shop.q", t)
+    assert values(ns.table("Q")) == values(t) and values(ns.tables()) == [("", "q")]
+    ns.create("s.a", t)
+    with pytest.raises(CatalogError):
+        ns.create("S.A", s)
+    ns.create("S.b", s)
+    assert values(ns.tables()) == [("", "q"), ("s", "a"), ("s", "b")]
+    for name in ("s", "S", "shop.s"):
+        with pytest.raises(CatalogError):
+            ns.drop(name)
+    ns.drop("s", if_exists=True)
+    with pytest.raises(CatalogError):
+        ns.drop_schema("s")
+    assert values(ns.table("s.a")) == values(t)
+    ns.drop_schema("S", cascade=True)
+    assert values(ns.tables()) == [("", "q")]
+    assert values(ns.columns().select("table_name", "column_name", "place", "kind")) == [("q", "k", 0, "int"), ("q", "v", 1, "int")]
+
+
+def test_publishing(spark, tmp_path, t, monkeypatch):
+    path = f"file://{tmp_path}/ns"
+    mine, theirs = attach(spark, path, "a"), attach(spark, path, "b")
+    mine.create("t", t)
+    rows = mine.table("t")
+    time.sleep(0.05)
+    theirs.apply("t", change.delete(theirs.table("t"), F.col("k") == 1))
+    with pytest.raises(CatalogError, match="someone else"):
+        mine.apply("t", change.delete(rows, F.col("k") == 2))
+    assert values(theirs.table("t")) == [(2, 20), (3, 30)]
+    locked = attach(spark, path, "c", read_only=True)
+    for what in (lambda: locked.create("u", t), lambda: locked.drop("t"), lambda: locked.create_view("v", "select 1"), lambda: locked.apply("t", change.delete(locked.table("t")))):
+        with pytest.raises(CatalogError, match="read-only"):
+            what()
+    with pytest.raises(CatalogError):
+        attach(spark, f"file://{tmp_path}/nowhere", "d", read_only=True)
+
+
+def test_views(spark, tmp_path, t):
+    ns = attach(spark, f"file://{tmp_path}/ns", "shop")
+    ns.create("t", t)
+    ns.create_view("v", "select k from {t} where v > 10")
+    ns.create_view("w", "select a.k, b.v from {v} a join {t} b using (k)")
+    assert values(ns.table("w")) == [(2, 20), (3, 30)] and values(ns.views()) == [("", "v"), ("", "w")]
+    for what in (lambda: ns.create_view("V", "select 1"), lambda: ns.create("v", t), lambda: ns.create_view("t", "select 1")):
+        with pytest.raises(CatalogError):
+            what()
+    ns.create_view("v", "select k from {w}", replace=True)
+    with pytest.raises(CatalogError, match="itself"):
+        ns.table("w")
+    ns.drop("v")
+    with pytest.raises(CatalogError):
+        ns.table("w")
+
+
+def test_search_path(spark, tmp_path, t, s):
+    a, b = attach(spark, f"file://{tmp_path}/a", "a"), attach(spark, f"file://{tmp_path}/b", "b")
+    a.create("x.t_far", t)
+    b.create("t_far", s)
+    b.create("a.deep", s)
+    assert values(lookup(spark, "t_far", [a, b], ["a.x", "b"])) == values(t)
+    assert values(lookup(spark, "t_far", [a, b], ["b", "a.x"])) == values(s)
+    assert values(lookup(spark, "a.x.t_far", [a, b])) == values(t)
+    assert values(lookup(spark, "a.deep", [a, b], ["b"])) == values(s)
+    t.limit(0).createOrReplaceTempView("t_far")
+    try:
+        assert lookup(spark, "t_far", [a, b], ["a.x", "b"]).count() == 0
+    finally:
+        spark.catalog.dropTempView("t_far")
+    for wrong in (("nothing", ["a"]), ("t_far", []), ("t_far", ["c"])):
+        with pytest.raises(CatalogError):
+            lookup(spark, wrong[0], [a, b], wrong[1])
+
+
+def test_keys_that_match_nothing(spark):
+    t = table(spark, (1, 10), (2, 20), (None, 5))
+    s = table(spark, (None, 1), (None, 2), (7, 3), (7, 4), (1, 11))
+    clauses = [When("matched", "update", {"v": F.col("s.v")}), When("not matched", "insert", {"k": F.col("s.k"), "v": F.col("s.v")})]
+    order = lambda df: sorted(map(tuple, df.collect()), key=lambda r: (r[0] is None, r))
+    assert order(change.merge(t, s, ["k"], clauses).after) == [(1, 11), (2, 20), (7, 3), (7, 4), (None, 1), (None, 2), (None, 5)]
+    assert order(change.upsert(t, s, ["k"]).after) == [(1, 10), (2, 20), (7, 3), (None, 1), (None, 2), (None, 5)]
+    with pytest.raises(ChangeError):
+        change.upsert(t, s, ["k"], {"v": F.col("s.v")})
+    with pytest.raises(ChangeError):
+        change.merge(t, s.union(s.where("k = 1")), ["k"], clauses)
+    assert change.update_from(t, s, ["k"], {"v": F.col("s.v")}).touched.collect() == [(1, 11)]
+
+
+def test_update_where(spark, t, s):
+    c = change.update_where(t, s.withColumnRenamed("k", "sk").withColumnRenamed("v", "sv"), F.expr("k = sk and v * 10 <= sv"), {"v": F.col("sv") + F.col("k")}, ["k"])
+    assert values(c.after) == [(1, 10), (2, 202), (3, 303)] and values(c.touched) == [(2, 202), (3, 303)]
+    with pytest.raises(ChangeError):
+        change.update_where(t, s.withColumnRenamed("k", "sk").withColumnRenamed("v", "sv"), F.expr("k < sk"), {"v": F.col("sv")}, ["k"])
+
+
+def test_closure(spark):
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    base = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    got = recursive.closure(base, lambda f: f.select((F.col("k") * 2 % 11).cast("int").alias("k")))
+    assert sorted(r.k or 0 for r in got.collect()) == list(range(11))
+    with pytest.raises(RuntimeError):
+        recursive.closure(spark.range(1), lambda f: f.select(F.col("id") + 1), max_rounds=3)
+
+
+def test_alias_hides_the_name(spark, t):
+    from pyspark.errors import AnalysisException
+
+    assert spark.sql("select x.k from {t} x where x.v > 10", t=t).count() == 2
+    t.createOrReplaceTempView("hidden_by_alias")
+    with pytest.raises(AnalysisException):
+        spark.sql("select hidden_by_alias.k from hidden_by_alias x")
+    spark.catalog.dropTempView("hidden_by_alias")
