@@ -122,7 +122,7 @@ def log_ratios(stats: DataFrame, labels: DataFrame, buckets: int = BUCKETS, smoo
 
 
 def _judged(docs: DataFrame, labels: DataFrame, buckets: int, threshold: int, keep_rows: bool) -> DataFrame:
-    stats = write_table(statistics(docs, buckets, keep_rows), "quality")
+    stats = write_table(statistics(docs, buckets, keep_rows), "quality", compression="zstd")
     ratios = log_ratios(stats, labels, buckets)
     in_order = F.array_sort(F.collect_list(F.struct("bucket", "ratio")))
     array = ratios.agg(F.transform(in_order, lambda x: x["ratio"]))
