@@ -8,9 +8,10 @@ palette, interlacing, transparent index, disposal (keep, to background, to previ
 
 One pass over the rows, no shuffle; a task holds about ``CHUNK`` bytes of samples at once, or one file.
 
-Defined results. A null or empty text is one row of 192 blanks. A null media value gives no frames; bytes
-that are no GIF raise ``ValueError``. A code stream that ends early leaves the missing pixels at index 0, and
-pixels beyond the frame are ignored. Repeated ids are separate rows; other columns are not kept by the query,
+Defined results. A null or empty text is one row of 192 blanks. A media value that is null, no GIF or broken is
+one row with its id, null results and the reason in ``error``, which is null otherwise; other rows don't notice. A
+GIF without images has no frames. A code stream that ends early leaves the missing pixels at index 0, and pixels
+beyond the frame are ignored. Repeated ids are separate rows; other columns are not kept by the query,
 ``frames`` keeps the id alone.
 """
 
@@ -340,17 +341,33 @@ def store_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def _files(b: pa.RecordBatch) -> Iterator[tuple[int, bytes, int, int, list[Image], list[np.ndarray]]]:
-    """Row number, bytes, canvas size, images and indices of each file of a batch."""
+_File = tuple[int, int, list[Image], list[np.ndarray]]
+
+
+def _decoded(media: list[bytes | None]) -> list[_File | str]:
+    """Canvas size, images and indices of files, which are decoded together; for one that can't be read, why."""
+    try:
+        parsed = [parse(x or b"") for x in media]
+        indices = iter(samples_of([x for p in parsed for x in p[2]]))
+        return [(w, h, images, [next(indices) for _ in images]) for w, h, images in parsed]
+    except ValueError as e:
+        # of one file, so each is read by itself
+        return [str(e)] if len(media) == 1 else [y for x in media for y in _decoded([x])]
+
+
+def _files(b: pa.RecordBatch) -> Iterator[tuple[int, bytes | None, _File | str]]:
+    """Row number, bytes, and what they decode to, of each file of a batch."""
     media = b.column(b.schema.get_field_index("media")).to_pylist()
     for s, e in _chunks([2 * len(x or b"") for x in media]):
-        parsed = [(i, media[i], *parse(media[i])) for i in range(s, e) if media[i] is not None]
-        indices = iter(samples_of([x for p in parsed for x in p[4]]))
-        for i, blob, w, h, images in parsed:
-            yield i, blob, w, h, images, [next(indices) for _ in images]
+        yield from zip(range(s, e), media[s:e], _decoded(media[s:e]), strict=True)
+
 
+def _batch(rows: list[tuple], types: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.types, strict=True)], schema=types)
 
-_FRAMES = "doc_id long, frame int, start_ms long, delay_ms int, left int, top int, width int, height int, disposal int, transparent int, red array<int>, green array<int>, blue array<int>, pixels binary"
+
+_FRAMES = "doc_id long, frame int, start_ms long, delay_ms int, left int, top int, width int, height int, disposal int, transparent int, red array<int>, green array<int>, blue array<int>, pixels binary, error string"
 
 
 def frames(stored: DataFrame) -> DataFrame:
@@ -359,17 +376,18 @@ def frames(stored: DataFrame) -> DataFrame:
     small_batches(stored.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pandas as pd
-
         for b in batches:
             ids, rows = b.column("doc_id").to_pylist(), []
-            for i, _, w, h, images, indices in _files(b):
-                ms = 0
+            for i, _, file in _files(b):
+                if isinstance(file, str):
+                    rows.append((ids[i], *[None] * (len(_FRAME_TYPES) - 2), file))
+                    continue
+                ms, (w, h, images, indices) = 0, file
                 for k, (x, canvas) in enumerate(zip(images, draw(w, h, images, indices), strict=True)):
                     hist = histogram(canvas).tolist()
-                    rows.append((ids[i], k, ms, 10 * x.delay_cs, x.left, x.top, x.width, x.height, x.disposal, x.transparent, hist[:BINS], hist[BINS : 2 * BINS], hist[2 * BINS :], canvas.tobytes()))
+                    rows.append((ids[i], k, ms, 10 * x.delay_cs, x.left, x.top, x.width, x.height, x.disposal, x.transparent, hist[:BINS], hist[BINS : 2 * BINS], hist[2 * BINS :], canvas.tobytes(), None))
                     ms += 10 * x.delay_cs
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=[c.split()[0] for c in _FRAMES.split(", ")]), schema=_FRAME_TYPES)
+            yield _batch(rows, _FRAME_TYPES)
 
     return stored.select(F.col("doc_id").cast("long").alias("doc_id"), "media").mapInArrow(run, _FRAMES)
 
@@ -377,10 +395,11 @@ def frames(stored: DataFrame) -> DataFrame:
 _FRAME_TYPES = pa.schema(
     [("doc_id", pa.int64()), ("frame", pa.int32()), ("start_ms", pa.int64())]
     + [(c, pa.int32()) for c in ("delay_ms", "left", "top", "width", "height", "disposal", "transparent")]
-    + [(c, pa.list_(pa.int32())) for c in ("red", "green", "blue")] + [("pixels", pa.binary())]
+    + [(c, pa.list_(pa.int32())) for c in ("red", "green", "blue")] + [("pixels", pa.binary()), ("error", pa.string())]
 )
 
-_FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
+_FEATURE_TYPES = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.string()) for c in _FEATURES.split(", ")])
 
 
 def features(stored: DataFrame) -> DataFrame:
@@ -392,17 +411,18 @@ def features(stored: DataFrame) -> DataFrame:
         for b in batches:
             ids, sizes = b.column("doc_id").to_pylist(), b.column("n_bytes").to_pylist()
             out = []
-            for i, blob, w, h, images, indices in _files(b):
-                parts, hist = [], np.zeros(3 * BINS, np.int64)
+            for i, blob, file in _files(b):
+                if isinstance(file, str):
+                    out.append((ids[i], sizes[i], *[None] * (len(_FEATURE_TYPES) - 3), file))
+                    continue
+                parts, hist, (w, h, images, indices) = [], np.zeros(3 * BINS, np.int64), file
                 for x, canvas in zip(images, draw(w, h, images, indices), strict=True):
                     area = canvas[x.top : x.top + x.height, x.left : x.left + x.width]
                     parts.append(np.ascontiguousarray(area[..., 0]).tobytes())
                     hist += histogram(area[..., :3])
                 payload = b"".join(parts)
                 feature = f"{w}x{h} frames={len(images)} ms={10 * sum(x.delay_cs for x in images)} red={','.join(map(str, hist[:BINS]))}"
-                out.append((ids[i], sizes[i], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(blob), hashlib.sha256(blob).hexdigest(), feature))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            columns = list(zip(*out, strict=True)) or [()] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[c.split()[0] for c in _FEATURES.split(", ")])
+                out.append((ids[i], sizes[i], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(blob), hashlib.sha256(blob).hexdigest(), feature, None))
+            yield _batch(out, _FEATURE_TYPES)
 
     return stored.select("doc_id", "n_bytes", "media").mapInArrow(run, _FEATURES)

@@ -127,3 +127,19 @@ def test_edges(spark):
     one = gif.frames(gif.store_texts(df.where("doc_id = 2"))).first()
     assert (one.frame, one.start_ms, one.delay_ms, one.width, one.height) == (0, 0, 40, 192, 1) and sum(one.red) == 192
     assert gif.features(gif.store_texts(df.limit(0))).collect() == [] == gif.frames(gif.store_texts(df.limit(0))).collect()
+
+
+def test_broken_files_are_rows(spark):
+    whole = gif.encode(b"a" * 384)
+    at = whole.index(b"\x2c") + 10
+    stream = whole[:at] + bytes([whole[at], 3, 0xFF, 0xFF, 0xFF, 0]) + b"\x3b"
+    media = [whole, None, b"", b"JFIF", whole[:20], stream, whole, whole[:-3]]
+    df = spark.createDataFrame([(k, 384, x) for k, x in enumerate(media)], "doc_id long, n_bytes long, media binary").coalesce(1)
+    got = {r.doc_id: r for r in gif.features(df).collect()}
+    assert len(got) == len(media)
+    assert [k for k, r in got.items() if r.error is None] == [0, 6]
+    assert got[0].payload_sha256 == got[6].payload_sha256 == hashlib.sha256(b"a" * 384).hexdigest()
+    bad = [r for r in got.values() if r.error is not None]
+    assert all(r.n_bytes == 384 and r.payload_sha256 is None and r.feature is None for r in bad)
+    shown = gif.frames(df).collect()
+    assert sorted((r.doc_id, r.frame is None, r.error is None) for r in shown) == sorted((k, r.error is not None, r.error is None) for k, r in got.items())
