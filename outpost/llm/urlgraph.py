@@ -143,3 +143,30 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, **method:
     out = lookup_join(p.drop("html"), hosts, ["host"], "left")
     own = F.when(F.coalesce("blocked", F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", own).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
+
+
+def oracle(rules: Sequence[tuple[str, str]] = RULES, damping: float = DAMPING, ratio: float = RATIO, floor: float = FLOOR, hops: int = 150) -> str:
+    """SQL for the rows of ``judge`` with scores rounded to four digits. It sums the score by the number of links
+    walked, up to ``hops``, beyond which ``damping ** hops`` is left (2.6e-11)."""
+    lower = lambda x: f"translate({x}, '{_AZ[0]}', '{_AZ[1]}')"
+    link = "<[aA][\\t-\\r ][^>]*?[hH][rR][eE][fF][\\t-\\r ]*=[\\t-\\r ]*[\"'']?((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^\"''\\t-\\r >]*)"
+    values = ", ".join(f"('{v}', '{r}', '{r[: r.index('/')]}', '{r[r.index('/') :]}')" for v, r in rules)
+    return f"""with recursive rules(verdict, rule, host, path) as (values {values}),
+    p as materialized (select row_number() over () as id, page_id, html, {lower("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} as host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+    fits as (select id, max({{'n': length(rule), 'rule': rule, 'verdict': verdict}}) as best from p join rules r
+        on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path) group by id),
+    judged as materialized (select p.*, best.rule as rule, best.verdict as verdict from p left join fits using (id)),
+    links as (select host as src, unnest(regexp_extract_all(html, '{link}', 1)) as url from judged),
+    edges as materialized (select src, {lower("regexp_extract(url, '//([^/?#]*)', 1)")} as dst, count(*) as w from links group by all having dst <> '' and dst <> src),
+    votes as (select host, sum(case verdict when 'allow' then 1 when 'block' then -1 else 0 end) as vote from judged group by host having vote <> 0),
+    hop as materialized (select 'trust' as kind, src as a, dst as b, w / sum(w) over (partition by src) as share from edges
+        union all select 'distrust', dst, src, w / sum(w) over (partition by dst) from edges
+        union all select 'exposure', dst, src, w / sum(w) over (partition by src) from edges),
+    walk(kind, host, k, m) as (select kind, host, 0, cast({1 - damping!r} as double) from votes
+        join (values ('trust', 1), ('distrust', -1), ('exposure', -1)) as kinds(kind, side) on sign(vote) = side
+        union all select kind, b, k + 1, sum({damping!r}::double * m * share) from (select walk.kind, b, k, m, share from walk join hop on hop.kind = walk.kind and hop.a = walk.host where k < {hops}) group by kind, b, k),
+    score as (select host, coalesce(sum(m) filter (where kind = 'trust'), 0) as trust, coalesce(sum(m) filter (where kind = 'distrust'), 0) as distrust,
+        coalesce(sum(m) filter (where kind = 'exposure'), 0) as exposure from walk group by host)
+    select page_id, host, path, rule, coalesce(verdict, case when distrust > {ratio!r} * trust and greatest(distrust, exposure) > {floor!r} then 'block' else 'allow' end) as verdict,
+        round(coalesce(trust, 0), 4) as trust, round(coalesce(distrust, 0), 4) as distrust from judged left join score using (host)"""
